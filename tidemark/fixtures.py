@@ -27,9 +27,11 @@ def _versions(n: int) -> Column:
 
 
 def _source_ts(df: DataFrame, ts: str) -> DataFrame:
+    """Source time, and an arrival half a second to five and a half seconds later."""
+    delay = ((F.col("source_lsn") % 5000 + 500) / 1000).cast("decimal(18,6)")
     return df.withColumns({
         "source_ts": F.col(ts),
-        "ingested_at": F.col(ts) + F.expr("INTERVAL '2' SECOND"),
+        "ingested_at": F.col(ts) + F.make_dt_interval(secs=delay),
     })
 
 
@@ -233,6 +235,42 @@ def dotted_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", name.alias("name"))
 
 
+# Fixed value: samples of the rule metrics are packed twenty times closer than the
+# events they come from, counted from this moment (2024-01-01 UTC).
+PACK = 20
+EPOCH_MICROS = 1_704_067_200_000_000
+
+
+def packed_ts() -> Column:
+    micros = S.epoch_micros("ts") - F.lit(EPOCH_MICROS)
+    return S.from_micros(F.call_function("div", micros, F.lit(PACK).cast("bigint")) + F.lit(EPOCH_MICROS))
+
+
+def rule_samples(spark: SparkSession, sf_dir: str, specs: list) -> DataFrame:
+    """One sample per event and series specification (see ``tidemark.catalog.specs``)."""
+    shapes = F.array(*[
+        F.struct(
+            F.lit(s.metric).alias("metric"),
+            F.create_map(*[c for k, v in s.labels for c in (F.lit(k), F.lit(v))]).alias("labels"),
+            F.lit(s.mode).alias("mode"), F.lit(float(s.low)).alias("low"),
+            F.lit(float(s.high)).alias("high"), F.lit(s.period).alias("period"),
+        )
+        for s in specs
+    ])
+    rows = table(spark, sf_dir, "events").select(
+        packed_ts().alias("ts"), "event_id", F.inline(shapes)
+    )
+    block = F.call_function("div", F.col("event_id"), F.col("period").cast("bigint"))
+    level = F.when(block % 3 == 1, F.col("high")).otherwise(F.col("low"))
+    value = (
+        F.when(F.col("mode") == "reset", (F.col("event_id") % 100).cast("double"))
+        .when(F.col("mode") == "steps", block.cast("double"))
+        .when(F.col("mode") == "seen", F.unix_timestamp("ts").cast("double") - level)
+        .otherwise(level)
+    )
+    return rows.select("ts", "metric", "labels", value.alias("value"))
+
+
 def to_wire(typed_log: DataFrame, entity: str) -> DataFrame:
     """A typed log as flattened JSON messages, one ``value`` string per row."""
     iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"

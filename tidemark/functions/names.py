@@ -95,9 +95,11 @@ def map_names(df: DataFrame, rules: list[NameRule], name: str = "name") -> DataF
             ])
             labels = F.when(hit, made).otherwise(labels)
     dropped = [i for i, rule in enumerate(rules) if rule.drop]
+    # The generated row keeps the rule chain in one place: as a plain column the
+    # optimizer would copy it into every expression below that refers to it.
+    numbered = df.select("*", F.explode(F.array(which)).alias("_rule"))
     return (
-        df.withColumn("_rule", which)
-        .filter(~F.col("_rule").isin(dropped) if dropped else F.lit(True))
+        numbered.filter(~F.col("_rule").isin(dropped) if dropped else F.lit(True))
         .withColumns({"metric": F.regexp_replace(metric, "[^a-zA-Z0-9_:]", "_"), "labels": labels})
         .drop("_rule")
     )
@@ -136,6 +138,10 @@ DISCOVERY_RULES = [
 ]
 
 
+def _without(labels: str, key: str) -> Column:
+    return F.map_filter(labels, lambda k, _: k != F.lit(key))
+
+
 def relabel(df: DataFrame, rules: list[RelabelRule], labels: str = "labels") -> DataFrame:
     """Apply relabelling rules in order to a label map."""
     for rule in rules:
@@ -146,7 +152,7 @@ def relabel(df: DataFrame, rules: list[RelabelRule], labels: str = "labels") ->
         if rule.action == "keep":
             df = df.filter(joined.rlike(pattern))
             continue
-        others = F.map_filter(labels, lambda k, _, t=rule.target: k != F.lit(t))
+        others = _without(labels, rule.target)
         value = _fill(rule.replacement, joined, pattern)
         changed = F.when(value == "", others).otherwise(
             F.map_concat(others, F.create_map(F.lit(rule.target), value))
