@@ -257,7 +257,9 @@ def rule_samples(spark: SparkSession, sf_dir: str, specs: list) -> DataFrame:
         )
         for s in specs
     ])
-    rows = table(spark, sf_dir, "events").select(
+    # Spread the events before they multiply, so that no task expands a large split alone.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = table(spark, sf_dir, "events").select("event_id", "ts").repartition(tasks, "event_id").select(
         packed_ts().alias("ts"), "event_id", F.inline(shapes)
     )
     block = F.call_function("div", F.col("event_id"), F.col("period").cast("bigint"))

@@ -85,23 +85,37 @@ def quantiles(df: DataFrame, col: str, by: list[str], accuracy: int | None = Non
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     below = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = counts.groupBy(*by, "_b").agg(F.sum("_n").alias("_bn")).select(
+    totals = counts.groupBy(*by, "_b").agg(F.sum("_n").alias("_bn")).select(
         *[F.col(c).alias(f"_g_{c}") for c in by],
         F.col("_b").alias("_g_b"),
+        "_bn",
         F.coalesce(F.sum("_bn").over(below), F.lit(0)).alias("_below"),
         F.sum("_bn").over(Window.partitionBy(*by)).alias("_total"),
     )
+
+    def rank(p: float) -> Column:
+        return F.ceil(F.lit(p) * F.col("_total"))
+
+    def holds(p: float, before: Column, n: Column) -> Column:
+        return (before < rank(p)) & (rank(p) <= before + n)
+
+    # Only buckets that hold a wanted rank are looked into: three per group at most.
+    hit = F.lit(False)
+    for p in QUANTILES:
+        hit = hit | holds(p, F.col("_below"), F.col("_bn"))
     same = F.col("_b") == F.col("_g_b")
     for c in by:
         same = same & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
-    inside = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.withColumn("_in", F.sum("_n").over(inside)).join(buckets, same)
-    upto = F.col("_below") + F.col("_in")
-    found = []
-    for p in QUANTILES:
-        rank = F.ceil(F.lit(p) * F.col("_total"))
-        holds = (upto >= rank) & (upto - F.col("_n") < rank)
-        found.append(F.max(F.when(holds, F.col("_v"))).alias(_quantile_name(p)))
+    upto = F.sum("_n").over(
+        Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    ranked = counts.join(totals.filter(hit), same).withColumn(
+        "_before", F.col("_below") + upto - F.col("_n")
+    )
+    found = [
+        F.max(F.when(holds(p, F.col("_before"), F.col("_n")), F.col("_v"))).alias(_quantile_name(p))
+        for p in QUANTILES
+    ]
     return ranked.groupBy(*by).agg(*found)
 
 

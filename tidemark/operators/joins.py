@@ -15,13 +15,13 @@ from tidemark.functions import scalar as S
 
 
 def without(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Rows of ``left`` with no partner in ``right``."""
-    return left.join(right.select(*on), on, "left_anti")
+    """Rows of ``left`` with no partner in ``right``; keys of ``right`` are made distinct first."""
+    return left.join(right.select(*on).distinct(), on, "left_anti")
 
 
 def with_match(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     """Rows of ``left`` with a partner in ``right``, none doubled."""
-    return left.join(right.select(*on), on, "left_semi")
+    return left.join(right.select(*on).distinct(), on, "left_semi")
 
 
 def spine_join(parts: dict[str, DataFrame], on: list[str]) -> DataFrame:

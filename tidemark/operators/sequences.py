@@ -1,7 +1,7 @@
 """Neighbouring rows and runs inside long ordered sequences.
 
 A plain window over (key, order) puts a whole key into one task. These
-operators cut each sequence into chunks by a value of the row itself (a day, a
+operators cut each sequence into chunks by a value of the row itself (an hour, a
 log segment), work inside (key, chunk), and then link only the chunk borders.
 The result is the same as that of the plain window.
 """
@@ -15,7 +15,6 @@ from tidemark.functions import scalar as S
 
 # One write-ahead-log segment is 16 MiB, so 24 bits bound the versions in a chunk.
 WAL_SEGMENT_BITS = 24
-MICROS_PER_DAY = 86_400_000_000
 
 
 def wal_segment(lsn: str = "source_lsn") -> Column:
@@ -23,9 +22,12 @@ def wal_segment(lsn: str = "source_lsn") -> Column:
     return F.shiftright(F.col(lsn), WAL_SEGMENT_BITS)
 
 
-def day_chunk(ts: str = "ts") -> Column:
-    """Chunk of a timestamp."""
-    return F.to_date(F.col(ts))
+def hour_chunk(ts: str = "ts") -> Column:
+    """Chunk of a timestamp: 240 samples of a series scraped every 15 seconds.
+
+    A single series with far more rows per hour needs a finer chunk.
+    """
+    return F.date_trunc("HOUR", F.col(ts))
 
 
 def adjacent_pairs(
@@ -78,7 +80,7 @@ def runs(
     inside (key, chunk); only the runs touching a chunk border, at most two per
     chunk, are then stitched along the whole key.
     """
-    chunk = day_chunk(ts) if chunk is None else chunk
+    chunk = hour_chunk(ts) if chunk is None else chunk
     rows = df.select(*keys, F.col(ts).alias("_t"), F.col(state).alias("_s"), chunk.alias("_chunk"))
 
     def same(prev_s: Column, s: Column, prev_t: Column, t: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalar as S
-from tidemark.operators.sequences import adjacent_pairs, day_chunk, runs
+from tidemark.operators.sequences import adjacent_pairs, hour_chunk, runs
 
 # Scrape and evaluation interval, and how long a sample stays visible.
 STEP = 15
@@ -49,9 +49,11 @@ def _at(step_no: Column, step: int) -> Column:
     return S.from_micros(step_no * F.lit(step * MICROS))
 
 
-def counter_deltas(samples: DataFrame, keys: list[str], ts: str = "ts", value: str = "value") -> DataFrame:
+def counter_deltas(
+    samples: DataFrame, keys: list[str], ts: str = "ts", value: str = "value", chunk: Column | None = None
+) -> DataFrame:
     """What a counter grew by since its previous sample; after a reset it grew by its new value."""
-    pairs = adjacent_pairs(samples, keys, [ts, value], [], day_chunk(ts))
+    pairs = adjacent_pairs(samples, keys, [ts, value], [], hour_chunk(ts) if chunk is None else chunk)
     now, before = F.col(value), F.col(f"prev_{value}")
     return pairs.filter(F.col(f"prev_{ts}").isNotNull()).select(
         *keys,

@@ -1,8 +1,8 @@
 """Evaluating the alert rules over metric samples.
 
-Rules of the same shape share one pass: every sample is tagged with the rules
-it feeds, so the samples are read and grouped once per shape and not once per
-rule.
+Two passes serve all rules: one over the newest values (gauges, targets that
+answer, ratios, ages) and one over counter growth. Every sample is tagged with
+the rules it feeds, so it is read once per pass and not once per rule.
 """
 
 from __future__ import annotations
@@ -32,15 +32,27 @@ def _where(rule: Rule) -> Column:
     return out
 
 
-def _selects(rule: Rule) -> Column:
-    return F.col("metric").isin(*[m for m in (rule.metric, rule.other) if m]) & _where(rule)
-
-
 def _tag(samples: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Samples once per rule they feed, in a column ``alert``."""
-    metrics = sorted({m for r in rules for m in (r.metric, r.other) if m})
-    fed = F.array_compact(F.array(*[F.when(_selects(r), F.lit(r.name)) for r in rules]))
-    return samples.filter(F.col("metric").isin(metrics)).withColumn("alert", F.explode(fed))
+    """Samples once per rule they feed, in a column ``alert``.
+
+    The metric name gives the candidate rules by one lookup; only rules with
+    label conditions are then tested.
+    """
+    feeds: dict[str, list[str]] = {}
+    for r in rules:
+        for m in dict.fromkeys(m for m in (r.metric, r.other) if m):
+            feeds.setdefault(m, []).append(r.name)
+    candidates = F.create_map(*[
+        c for m, names in feeds.items() for c in (F.lit(m), F.array(*[F.lit(n) for n in names]))
+    ])
+    fed = samples.filter(F.col("metric").isin(*feeds)).select(
+        "*", F.explode(F.element_at(candidates, F.col("metric"))).alias("alert")
+    )
+    kept = F.lit(True)
+    for r in rules:
+        if r.where:
+            kept = F.when(F.col("alert") == r.name, _where(r)).otherwise(kept)
+    return fed.filter(kept)
 
 
 def _per_rule(rules: list[Rule], value) -> Column:
@@ -61,100 +73,100 @@ def _breached(rules: list[Rule]) -> Column:
     return F.coalesce(hit, F.lit(False))
 
 
-def _combine(series: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Keep single series, or fold them per evaluation time where the rule says so."""
-    agg = _per_rule(rules, lambda r: "count" if r.kind == "up" else r.agg)
-    folded = F.col("_agg") != ""
+def _unit(rules: list[Rule]) -> Column:
+    """What a rule reports on: a series, an instance, or everything folded into one."""
+    how = _per_rule(rules, lambda r: (
+        "instance" if r.on else "" if r.agg or r.kind in ("up", "stale") else "series"
+    ))
     return (
-        series.withColumn("_agg", agg)
-        .groupBy("alert", "t", "_agg", F.when(folded, "").otherwise(F.col("series")).alias("series"))
-        .agg(F.sum("value").alias("_sum"), F.count("value").cast("double").alias("_n"))
-        .withColumn(
-            "value",
-            F.when(F.col("_agg") == "count", F.col("_n"))
-            .when(F.col("_agg") == "avg", F.col("_sum") / F.col("_n"))
-            .otherwise(F.col("_sum")),
-        )
-        .withColumn(
-            "value",
-            _per_rule(rules, lambda r: float(r.offset)) + _per_rule(rules, lambda r: float(r.scale)) * F.col("value"),
-        )
-        .select("alert", "series", "t", "value")
+        F.when(how == "series", F.col("series"))
+        .when(how == "instance", F.concat(F.lit("instance="), TS.label("instance")))
+        .otherwise("")
     )
 
 
-def _gauges(samples: DataFrame, rules: list[Rule], step: int, lookback: int) -> DataFrame:
-    tagged = _tag(samples, rules).withColumn("series", TS.series_key())
-    seen = TS.instant(tagged, ["alert", "series"], step, lookback)
-    ups = [r.name for r in rules if r.kind == "up"]
-    if ups:
-        seen = seen.filter(~F.col("alert").isin(ups) | (F.col("value") == 1))
-    return _combine(seen, rules)
+def _scaled(rules: list[Rule], value: Column) -> Column:
+    return _per_rule(rules, lambda r: float(r.offset)) + _per_rule(rules, lambda r: float(r.scale)) * value
 
 
-def _counters(samples: DataFrame, rules: list[Rule], step: int) -> DataFrame:
-    tagged = _tag(samples, rules).withColumn("series", TS.series_key())
-    pairs = TS.counter_deltas(tagged, ["alert", "series"])
+def _newest_values(samples: DataFrame, rules: list[Rule], step: int, lookback: int) -> DataFrame:
+    """Rules over the newest value each evaluation time sees."""
+    tagged = (
+        _tag(samples, rules)
+        .withColumn("series", TS.series_key())
+        .withColumns({"unit": _unit(rules), "below": F.col("metric") != _per_rule(rules, lambda r: r.metric)})
+    )
+    seen = TS.instant(tagged, ["alert", "unit", "below", "series"], step, lookback)
     kind = _per_rule(rules, lambda r: r.kind)
-    pairs = pairs.withColumn(
-        "measure", F.when(kind == "changes", F.col("changed").cast("double")).otherwise(F.col("delta"))
+    seen = seen.filter((kind != "up") | (F.col("value") == 1)).select(
+        "alert", "unit", "t", "below", "value", F.lit(False).alias("grid")
+    )
+
+    aged = [r for r in rules if r.kind == "stale"]
+    if aged:
+        # Every evaluation time takes part, so that an absent series is noticed.
+        alerts = F.explode(F.array(*[F.lit(r.name) for r in aged])).alias("alert")
+        grid = TS.spine(samples, step).select("t", alerts).select(
+            "alert", F.lit("").alias("unit"), "t", F.lit(False).alias("below"),
+            F.lit(None).cast("double").alias("value"), F.lit(True).alias("grid"),
+        )
+        seen = seen.unionByName(grid)
+
+    above, value = ~F.col("below"), F.col("value")
+    folded = seen.groupBy("alert", F.col("unit").alias("series"), "t").agg(
+        F.sum(F.when(above, value)).alias("_sum"),
+        F.sum(F.when(~above, value)).alias("_den"),
+        F.count(F.when(above, value)).cast("double").alias("_n"),
+        F.max(F.when(above, value)).alias("_max"),
+        F.max("grid").alias("_grid"),
     )
-    window = _per_rule(rules, lambda r: r.window)
-    total = TS.over_windows(pairs, ["alert", "series"], "measure", window, step)
-    per_second = F.when(kind == "rate", F.col("value") / window).otherwise(F.col("value"))
-    return _combine(total.withColumn("value", per_second), rules)
-
-
-def _ratios(samples: DataFrame, rules: list[Rule], step: int, lookback: int) -> DataFrame:
-    by_instance = _per_rule(rules, lambda r: r.on == ("instance",))
-    tagged = _tag(samples, rules).withColumns({
-        "series": TS.series_key(),
-        "on": F.when(by_instance, F.concat(F.lit("instance="), TS.label("instance")))
-        .otherwise(TS.series_key()),
-    })
-    seen = TS.instant(tagged, ["alert", "metric", "on", "series"], step, lookback)
-    is_num = F.col("metric") == _per_rule(rules, lambda r: r.metric)
-    sides = seen.groupBy("alert", F.col("on").alias("series"), "t").agg(
-        F.sum(F.when(is_num, F.col("value"))).alias("_num"),
-        F.sum(F.when(~is_num, F.col("value"))).alias("_den"),
-    ).filter(F.col("_num").isNotNull() & F.col("_den").isNotNull())
     floor = _per_rule(rules, lambda r: float("-inf") if r.floor is None else float(r.floor))
-    share = S.ratio(F.col("_num"), F.greatest("_den", floor))
-    return sides.select(
-        "alert", "series", "t", (share * _per_rule(rules, lambda r: float(r.scale))).alias("value")
-    ).filter(F.col("value").isNotNull())
+    age = F.coalesce(S.epoch_micros("t") / F.lit(1e6) - F.col("_max"), F.lit(float("inf")))
+    measured = (
+        F.when((kind == "stale") & F.col("_grid"), age)
+        .when(kind == "up", F.col("_n"))
+        .when((kind == "ratio") & F.col("_den").isNotNull(),
+              S.ratio(F.col("_sum"), F.greatest("_den", floor)))
+        .when(kind == "gauge", F.col("_sum"))
+    )
+    return (
+        folded.withColumn("value", _scaled(rules, measured))
+        .filter(F.col("value").isNotNull())
+        .select("alert", "series", "t", "value")
+    )
 
 
-def _stale(samples: DataFrame, rules: list[Rule], step: int, lookback: int) -> DataFrame:
-    """Age of the newest timestamp per evaluation time; infinite while the series is absent."""
-    tagged = _tag(samples, rules).withColumn("series", TS.series_key())
-    newest = TS.instant(tagged, ["alert", "series"], step, lookback).groupBy("alert", "t").agg(
-        F.max("value").alias("seen")
+def _growth(samples: DataFrame, rules: list[Rule], step: int) -> DataFrame:
+    """Rules over what a counter grew by, or how often a value changed."""
+    tagged = (
+        _tag(samples, rules).withColumn("series", TS.series_key()).withColumn("unit", _unit(rules))
+    )
+    keys = ["alert", "unit", "series"]
+    kind, window = _per_rule(rules, lambda r: r.kind), _per_rule(rules, lambda r: r.window)
+    pairs = TS.counter_deltas(tagged, keys).withColumn(
+        "measure", F.when(kind == "changes", F.col("changed").cast("double")).otherwise(F.col("delta"))
     )
-    alerts = F.explode(F.array(*[F.lit(r.name) for r in rules])).alias("alert")
-    grid = TS.spine(samples, step).select("t", alerts)
-    age = S.epoch_micros("t") / F.lit(1e6) - F.col("seen")
-    return grid.join(newest, ["alert", "t"], "left").select(
-        "alert", F.lit("").alias("series"), "t",
-        F.coalesce(age, F.lit(float("inf"))).alias("value"),
+    total = TS.over_windows(pairs, keys, "measure", window, step)
+    each = F.when(kind == "rate", F.col("value") / window).otherwise(F.col("value"))
+    average = _per_rule(rules, lambda r: r.agg == "avg")
+    folded = total.groupBy("alert", F.col("unit").alias("series"), "t").agg(
+        F.sum(each).alias("_sum"), F.count(F.lit(1)).alias("_n")
     )
+    value = F.when(average, F.col("_sum") / F.col("_n")).otherwise(F.col("_sum"))
+    return folded.select("alert", "series", "t", _scaled(rules, value).alias("value"))
 
 
 def conditions(
     samples: DataFrame, rules: list[Rule] = RULES, step: int = TS.STEP, lookback: int = TS.LOOKBACK
 ) -> DataFrame:
     """Value of every rule at every evaluation time and whether it breaches its limit."""
-    shapes = [
-        (("gauge", "up"), lambda rs: _gauges(samples, rs, step, lookback)),
-        (COUNTERS, lambda rs: _counters(samples, rs, step)),
-        (("ratio",), lambda rs: _ratios(samples, rs, step, lookback)),
-        (("stale",), lambda rs: _stale(samples, rs, step, lookback)),
-    ]
+    growing = [r for r in rules if r.kind in COUNTERS]
+    newest = [r for r in rules if r.kind not in COUNTERS]
     parts = []
-    for kinds, measure in shapes:
-        chosen = [r for r in rules if r.kind in kinds]
-        if chosen:
-            parts.append(measure(chosen).withColumn("breached", _breached(chosen)))
+    if newest:
+        parts.append(_newest_values(samples, newest, step, lookback).withColumn("breached", _breached(newest)))
+    if growing:
+        parts.append(_growth(samples, growing, step).withColumn("breached", _breached(growing)))
     return reduce(DataFrame.unionByName, parts)
 
 
