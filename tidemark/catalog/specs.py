@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass
 
@@ -23,7 +24,7 @@ class Spec:
 
     @property
     def series(self) -> str:
-        return ",".join(f"{k}={v}" for k, v in sorted(self.labels))
+        return json.dumps(dict(sorted(self.labels)), separators=(",", ":"))
 
 
 def matches(rule_where, labels) -> bool:

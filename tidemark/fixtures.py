@@ -251,7 +251,8 @@ def rule_samples(spark: SparkSession, sf_dir: str, specs: list) -> DataFrame:
     shapes = F.array(*[
         F.struct(
             F.lit(s.metric).alias("metric"),
-            F.create_map(*[c for k, v in s.labels for c in (F.lit(k), F.lit(v))]).alias("labels"),
+            F.array(*[F.lit(k) for k, _ in s.labels]).alias("names"),
+            F.array(*[F.lit(v) for _, v in s.labels]).alias("texts"),
             F.lit(s.mode).alias("mode"), F.lit(float(s.low)).alias("low"),
             F.lit(float(s.high)).alias("high"), F.lit(s.period).alias("period"),
         )
@@ -270,7 +271,7 @@ def rule_samples(spark: SparkSession, sf_dir: str, specs: list) -> DataFrame:
         .when(F.col("mode") == "seen", F.unix_timestamp("ts").cast("double") - level)
         .otherwise(level)
     )
-    return rows.select("ts", "metric", "labels", value.alias("value"))
+    return rows.select("ts", "metric", F.map_from_arrays("names", "texts").alias("labels"), value.alias("value"))
 
 
 def to_wire(typed_log: DataFrame, entity: str) -> DataFrame:

@@ -31,9 +31,12 @@ def label_matches(name: str, regex: str, negate: bool = False) -> Column:
 
 
 def series_key(labels="labels") -> Column:
-    """One text for a label set, independent of label order."""
-    entries = F.array_sort(F.map_entries(labels))
-    return F.concat_ws(",", F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    """A label set as JSON text with sorted names, the identity of a series.
+
+    Free of lambda functions: two uses of the same samples then have equal
+    plans and share one shuffle.
+    """
+    return F.to_json(F.map_from_entries(F.sort_array(F.map_entries(labels))))
 
 
 def with_labels(samples: DataFrame, *names: str) -> DataFrame:

@@ -42,11 +42,9 @@ def _tag(samples: DataFrame, rules: list[Rule]) -> DataFrame:
     for r in rules:
         for m in dict.fromkeys(m for m in (r.metric, r.other) if m):
             feeds.setdefault(m, []).append(r.name)
-    candidates = F.create_map(*[
-        c for m, names in feeds.items() for c in (F.lit(m), F.array(*[F.lit(n) for n in names]))
-    ])
+    candidates = _lookup("metric", {m: F.array(*[F.lit(n) for n in names]) for m, names in feeds.items()})
     fed = samples.filter(F.col("metric").isin(*feeds)).select(
-        "*", F.explode(F.element_at(candidates, F.col("metric"))).alias("alert")
+        "*", F.explode(candidates).alias("alert")
     )
     kept = F.lit(True)
     for r in rules:
@@ -55,10 +53,27 @@ def _tag(samples: DataFrame, rules: list[Rule]) -> DataFrame:
     return fed.filter(kept)
 
 
+def _lookup(column: str, values: dict[str, Column]) -> Column:
+    """A chain of comparisons. Not a map literal: those never compare equal, and two uses of
+    the same samples would then not share their shuffle."""
+    out = None
+    for key, value in values.items():
+        hit = F.col(column) == key
+        out = F.when(hit, value) if out is None else out.when(hit, value)
+    return out
+
+
 def _per_rule(rules: list[Rule], value) -> Column:
-    """A value of the rule as a column, looked up by the rule's name."""
-    pairs = [c for r in rules for c in (F.lit(r.name), F.lit(value(r)))]
-    return F.element_at(F.create_map(*pairs), F.col("alert"))
+    """A value of the rule as a column, by the rule's name; rules of equal value share a test."""
+    groups: dict = {}
+    for r in rules:
+        groups.setdefault(value(r), []).append(r.name)
+    common = max(groups, key=lambda v: len(groups[v]))
+    out = F.lit(common)
+    for v, names in groups.items():
+        if v != common:
+            out = F.when(F.col("alert").isin(names), F.lit(v)).otherwise(out)
+    return out
 
 
 def _breached(rules: list[Rule]) -> Column:
