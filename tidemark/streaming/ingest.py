@@ -19,16 +19,24 @@ def start_ingest(
 ) -> StreamingQuery:
     """Queue to append-only typed log. Progress lives in ``checkpoint``; a new one replays all.
 
-    An unparseable message stops the query.
+    Every checkpoint writes into its own folder of ``dst``: the file sink skips
+    batch numbers it has seen in a folder, so a replay must not share one. Read
+    the log with ``read_log``. An unparseable message stops the query.
     """
+    run = checkpoint.rstrip("/").rsplit("/", 1)[-1]
     typed = changes.type_changes(
         changes.read_changes(spark, src, entity, streaming=True, fmt=fmt, options=options), entity
     ).withColumn("ingested_at", F.current_timestamp())
     writer = typed.writeStream.format("parquet").outputMode("append")
-    writer = writer.option("checkpointLocation", checkpoint).option("path", dst)
+    writer = writer.option("checkpointLocation", checkpoint).option("path", f"{dst}/run={run}")
     return _start(writer, available_now)
 
 
+def read_log(spark: SparkSession, dst: str) -> DataFrame:
+    """The typed log of all runs; rows of a replay repeat earlier ones."""
+    return spark.read.parquet(dst).drop("run")
+
+
 def start_ingest_with_dead_letters(
     spark: SparkSession, src: str, dst: str, dead: str, entity: str, checkpoint: str,
     available_now: bool = True,
