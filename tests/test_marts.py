@@ -110,3 +110,39 @@ def test_charts_name_existing_datasets_and_columns_carry_their_format(spark):
     mart = spark.createDataFrame([(1, D("1.00"))], "orders int, revenue decimal(18,2)")
     field = aggregate_query(mart, "daily_sales_by_category", ["revenue"]).schema["revenue"]
     assert field.metadata["format"] == ",.2f"
+
+
+def log_of(df, lsn="order_id"):
+    return df.withColumns({"op": F.lit("c"), "source_lsn": F.col(lsn).cast("bigint"), "is_deleted": F.lit(0),
+                           "source_ts": F.lit("2024-01-01").cast("timestamp_ntz")})
+
+
+def test_one_day_from_the_logs_equals_the_filtered_mart(spark):
+    versions = log_of(orders(spark))
+    gone = versions.filter("order_id = 3").withColumns({"is_deleted": F.lit(1), "source_lsn": F.lit(99).cast("bigint")})
+    logs = {"orders": versions.unionByName(gone), "order_items": log_of(items(spark), "order_item_id"),
+            "products": log_of(products(spark), "product_id")}
+    for extra in ("sku", "name"):
+        logs["products"] = logs["products"].withColumn(extra, F.lit(""))
+    full = marts.daily_sales(staging.stg_order_items(logs["order_items"]), staging.stg_orders(logs["orders"]),
+                             staging.stg_products(logs["products"], ["product_id", "category"]))
+    for day in ("2024-01-01", "2024-01-02"):
+        assert rows(marts.daily_sales_of_day(logs, day)) == rows(full.filter(F.col("day") == day))
+    assert rows(marts.daily_sales_of_day(logs, "2024-01-02")) == []
+
+
+def test_bucketed_log_is_collapsed_and_joined_without_a_shuffle(spark, tmp_path):
+    from tidemark.plans.jobs import materialize_bucketed
+
+    o = materialize_bucketed(log_of(orders(spark)), "orders_log_bucketed", ["order_id"], 4, str(tmp_path))
+    i = materialize_bucketed(log_of(items(spark), "order_item_id"), "items_log_bucketed", ["order_id"], 4, str(tmp_path))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = staging.stg_order_items(i, ["order_item_id", "order_id", "line_total"]).join(
+            staging.stg_orders(o, ["order_id", "status"]), "order_id")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+        assert joined.count() == 6
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

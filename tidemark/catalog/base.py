@@ -29,6 +29,9 @@ class Inputs:
     def orders(self, *columns: str) -> DataFrame:
         return staging.stg_orders(self.log("orders"), list(columns) or None)
 
+    def orders_of(self, day: str, *columns: str) -> DataFrame:
+        return staging.stg_orders(self.log("orders"), list(columns) or None, day)
+
     def items(self, *columns: str) -> DataFrame:
         return staging.stg_order_items(self.log("order_items"), list(columns) or None)
 

@@ -22,9 +22,8 @@ STAGED = """order_id, customer_id, status, is_cancelled, is_complete, total_amou
 def _export(x: Inputs, days: list[str] = DAYS) -> str:
     """A raw layer holding some exported days."""
     root = x.scratch("raw")
-    orders = x.orders(*jobs.EXPORT_COLUMNS)
     for day in days:
-        jobs.export_day(orders, root, day)
+        jobs.export_day(x.orders_of(day, *jobs.EXPORT_COLUMNS), root, day)
     return root
 
 
@@ -55,14 +54,14 @@ def _(x: Inputs):
 
 @query("export_dry_run", sql(f"SELECT {EXPORT} FROM cur_orders WHERE order_date = DATE '{DAY}'", "cur_orders"))
 def _(x: Inputs):
-    return jobs.export_day(x.orders(*jobs.EXPORT_COLUMNS), "", DAY, dry_run=True)
+    return jobs.export_day(x.orders_of(DAY, *jobs.EXPORT_COLUMNS), "", DAY, dry_run=True)
 
 
 @query("export_empty_day", sql(
     "SELECT count(*) AS rows, 'empty' AS status FROM cur_orders WHERE order_date = DATE '1980-01-01'", "cur_orders"))
 def _(x: Inputs):
     root = x.scratch("raw")
-    done = jobs.export_day(x.orders(*jobs.EXPORT_COLUMNS), root, "1980-01-01")
+    done = jobs.export_day(x.orders_of("1980-01-01", *jobs.EXPORT_COLUMNS), root, "1980-01-01")
     return x.spark.read.parquet(done.path).agg(F.count(F.lit(1)).alias("rows"), F.lit(done.status).alias("status"))
 
 
@@ -83,7 +82,7 @@ WHERE order_date IN ({DAY_LIST}) AND (order_date <> DATE '{DAY}' OR status = 'de
 def _(x: Inputs):
     """One day is written again with fewer rows; the days beside it stay as they were."""
     root = _export(x)
-    rows = jobs.export_rows(x.orders(*jobs.EXPORT_COLUMNS), DAY).filter(F.col("status") == "delivered")
+    rows = jobs.export_rows(x.orders_of(DAY, *jobs.EXPORT_COLUMNS), DAY).filter(F.col("status") == "delivered")
     lake.write_partition(rows, root, "orders", DAY)
     return lake.read_lake(x.spark, root, "orders").select("order_id", "status", "dt")
 
@@ -131,9 +130,7 @@ def _(x: Inputs):
 
 
 def _sales(x: Inputs, day: str):
-    return marts.daily_sales(
-        x.items("order_item_id", "order_id", "product_id", "quantity", "unit_price"),
-        x.orders("order_id", "status", "created_at"), x.products("product_id", "category"), day)
+    return marts.daily_sales_of_day({n: x.log(n) for n in KEYS}, day)
 
 
 @query("mart_day_recomputed", sql(f"""

@@ -32,9 +32,16 @@ def _(x: Inputs):
 
 @query("daily_sales_one_day", sql(f"SELECT {MART} FROM daily_sales WHERE day = DATE '1997-03-15'", "daily_sales"))
 def _(x: Inputs):
+    return marts.daily_sales_of_day({n: x.log(n) for n in ("orders", "order_items", "products")}, "1997-03-15")
+
+
+@query("daily_sales_filtered_to_a_day", sql(
+    f"SELECT {MART} FROM daily_sales WHERE day = DATE '1997-03-16'", "daily_sales"))
+def _(x: Inputs):
+    """The same from current staging models, where the day filter comes after the collapse."""
     return marts.daily_sales(
         x.items("order_item_id", "order_id", "product_id", "quantity", "unit_price"),
-        x.orders("order_id", "status", "created_at"), x.products("product_id", "category"), "1997-03-15")
+        x.orders("order_id", "status", "created_at"), x.products("product_id", "category"), "1997-03-16")
 
 
 def sql_mart(x: Inputs):

@@ -17,6 +17,7 @@ from tidemark.operators.sequences import adjacent_pairs, hour_chunk, runs
 STEP = 15
 LOOKBACK = 300
 MICROS = 1_000_000
+SPINE_BLOCK = 4096
 
 
 def label(name: str) -> Column:
@@ -222,10 +223,14 @@ def held_for(
 def spine(samples: DataFrame, step: int) -> DataFrame:
     """Every evaluation time from the first sample to the last, also the quiet ones."""
     no = _div(S.epoch_micros("ts"), step * MICROS)
-    bounds = samples.agg(F.min(no).alias("_a"), F.max(no).alias("_b"))
+    bounds = samples.agg((F.min(no) + 1).alias("_a"), (F.max(no) + 1).alias("_b"))
+    # Blocks first, so that no single array spans the whole range.
+    block, size = F.col("_block"), SPINE_BLOCK
+    inside = F.sequence(F.greatest("_a", block * size), F.least("_b", block * size + size - 1))
     return (
         bounds.filter(F.col("_a").isNotNull())
-        .select(F.explode(F.sequence(F.col("_a") + 1, F.col("_b") + 1)).alias("_no"))
+        .select("_a", "_b", F.explode(F.sequence(_div(F.col("_a"), size), _div(F.col("_b"), size))).alias("_block"))
+        .select(F.explode(inside).alias("_no"))
         .select(_at(F.col("_no"), step).alias("t"))
     )
 

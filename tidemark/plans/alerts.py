@@ -100,6 +100,15 @@ def _unit(rules: list[Rule]) -> Column:
     )
 
 
+def _below(rules: list[Rule]) -> Column:
+    """Does a sample belong to the lower side of a ratio?"""
+    out = F.lit(False)
+    for r in rules:
+        if r.other:
+            out = out | ((F.col("alert") == r.name) & (F.col("metric") == r.other))
+    return out
+
+
 def _scaled(rules: list[Rule], value: Column) -> Column:
     return _per_rule(rules, lambda r: float(r.offset)) + _per_rule(rules, lambda r: float(r.scale)) * value
 
@@ -109,7 +118,7 @@ def _newest_values(samples: DataFrame, rules: list[Rule], step: int, lookback: i
     tagged = (
         _tag(samples, rules)
         .withColumn("series", TS.series_key())
-        .withColumns({"unit": _unit(rules), "below": F.col("metric") != _per_rule(rules, lambda r: r.metric)})
+        .withColumns({"unit": _unit(rules), "below": _below(rules)})
     )
     seen = TS.instant(tagged, ["alert", "unit", "below", "series"], step, lookback)
     kind = _per_rule(rules, lambda r: r.kind)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalar as S
+from tidemark.plans import staging
 
 # Fixed value: orders a day may be apart and still count as capture delay.
 TOLERANCE = 5
@@ -37,6 +38,20 @@ def daily_sales(items: DataFrame, orders: DataFrame, products: DataFrame, day: s
     )
 
 
+def daily_sales_of_day(logs: dict[str, DataFrame], day: str) -> DataFrame:
+    """The sales mart of one day straight from the logs, without collapsing the other days.
+
+    The day's orders are few; the line log is cut down to them before its
+    versions are collapsed.
+    """
+    orders = staging.stg_orders(logs["orders"], ["order_id", "status", "created_at"], day)
+    items = staging.stg_order_items(
+        logs["order_items"], ["order_item_id", "order_id", "product_id", "quantity", "unit_price"], orders
+    )
+    products = staging.stg_products(logs["products"], ["product_id", "category"])
+    return daily_sales(items, orders, products)
+
+
 def customer_summary(customers: DataFrame, orders: DataFrame, items: DataFrame, as_of: str) -> DataFrame:
     """One row per customer; customers without orders have zero counts and null dates.
 

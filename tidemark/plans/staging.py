@@ -28,8 +28,13 @@ def order_columns(as_boolean: bool = False) -> dict[str, Column]:
     }
 
 
-def stg_orders(log: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Current orders with flags, date, hour and age. ``columns`` narrows the whole plan."""
+def stg_orders(log: DataFrame, columns: list[str] | None = None, day: str | None = None) -> DataFrame:
+    """Current orders with flags, date, hour and age. ``columns`` narrows the whole plan.
+
+    ``day`` keeps the orders created on one day. An order's creation time is the
+    same in all its versions, tombstones included, so the filter is applied to
+    the log and only that day's versions are read and collapsed.
+    """
     out = [
         "order_id", "customer_id", "status", "is_cancelled", "is_complete", "total_amount",
         "created_at", "updated_at", "order_date", "order_hour", "age_seconds", "source_lsn", "source_ts",
@@ -41,20 +46,29 @@ def stg_orders(log: DataFrame, columns: list[str] | None = None) -> DataFrame:
     }
     need = [s for c in wanted for s in sources.get(c, [c])]
     derived = {k: v for k, v in order_columns().items() if k in wanted}
+    if day:
+        log = log.filter(S.in_day("created_at", day))
     current = latest_state(log, KEYS["orders"], columns=list(dict.fromkeys(["order_id", *need])))
     return current.withColumns(derived).select(*wanted)
 
 
-def stg_order_items(log: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Current order lines with the amount of the line."""
+def stg_order_items(
+    log: DataFrame, columns: list[str] | None = None, of_orders: DataFrame | None = None
+) -> DataFrame:
+    """Current order lines with the amount of the line.
+
+    A line never moves to another order. The collapse therefore works on
+    (order, line), which a log bucketed by order satisfies without a shuffle,
+    and ``of_orders`` may limit the log to some orders before the collapse.
+    """
     out = ["order_item_id", "order_id", "product_id", "quantity", "unit_price", "line_total",
            "source_lsn", "source_ts"]
     wanted = columns or out
     need = [s for c in wanted for s in (["quantity", "unit_price"] if c == "line_total" else [c])]
-    current = latest_state(
-        log, KEYS["order_items"], columns=list(dict.fromkeys(["order_item_id", *need])),
-        tiebreak=ITEM_TIEBREAK,
-    )
+    if of_orders is not None:
+        log = log.join(of_orders.select("order_id"), "order_id", "left_semi")
+    keys = ["order_id", *KEYS["order_items"]]
+    current = latest_state(log, keys, columns=list(dict.fromkeys([*keys, *need])), tiebreak=ITEM_TIEBREAK)
     if "line_total" in wanted:
         current = current.withColumn("line_total", S.line_total("quantity", "unit_price"))
     return current.select(*wanted)
