@@ -167,3 +167,14 @@ def test_freshness_uses_the_source_clock(spark):
     got = monitor.freshness({"a": log("2024-01-01 11:45:00"), "b": log("2024-01-01 11:00:00"),
                              "c": log("2024-01-01 09:00:00"), "d": empty}, "2024-01-01 12:00:00")
     assert rows(got.select("source", "status")) == [("a", "pass"), ("b", "warn"), ("c", "error"), ("d", "error")]
+
+
+def test_a_replay_of_the_state_does_not_overwrite_the_first_run(spark, tmp_path):
+    src, state = tmp_path / "in", str(tmp_path / "state")
+    put(src, "a.json", [message(10, "c"), message(11, customer_id=9)])
+    ingest.start_upsert(spark, str(src), state, "customers", str(tmp_path / "one")).awaitTermination()
+    (src / "a.json").unlink()
+    put(src, "b.json", [message(20, full_name="B")])
+    ingest.start_upsert(spark, str(src), state, "customers", str(tmp_path / "two")).awaitTermination()
+    got = rows(ingest.read_state(spark, state, "customers").select("customer_id", "full_name"))
+    assert got == [(7, "B"), (9, "A")]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,11 @@ from tidemark.schemas import KEYS
 from tidemark.sources import changes
 
 
+def run_folder(root: str, checkpoint: str) -> str:
+    """Where the query of one checkpoint writes, so that batch numbers of two never meet."""
+    return f"{root.rstrip('/')}/run={hashlib.md5(checkpoint.encode()).hexdigest()[:12]}"
+
+
 def start_ingest(
     spark: SparkSession, src: str, dst: str, entity: str, checkpoint: str,
     available_now: bool = True, fmt: str = "text", options: dict[str, str] | None = None,
@@ -23,18 +29,17 @@ def start_ingest(
     batch numbers it has seen in a folder, so a replay must not share one. Read
     the log with ``read_log``. An unparseable message stops the query.
     """
-    run = checkpoint.rstrip("/").rsplit("/", 1)[-1]
     typed = changes.type_changes(
         changes.read_changes(spark, src, entity, streaming=True, fmt=fmt, options=options), entity
     ).withColumn("ingested_at", F.current_timestamp())
     writer = typed.writeStream.format("parquet").outputMode("append")
-    writer = writer.option("checkpointLocation", checkpoint).option("path", f"{dst}/run={run}")
+    writer = writer.option("checkpointLocation", checkpoint).option("path", run_folder(dst, checkpoint))
     return _start(writer, available_now)
 
 
 def read_log(spark: SparkSession, dst: str) -> DataFrame:
     """The typed log of all runs; rows of a replay repeat earlier ones."""
-    return spark.read.parquet(dst).drop("run")
+    return spark.read.parquet(dst).drop("run", "batch")
 
 
 def start_ingest_with_dead_letters(
@@ -48,9 +53,11 @@ def start_ingest_with_dead_letters(
     raw = changes.read_messages(spark, src, streaming=True)
 
     def save(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
         good, bad = changes.split_dead_letters(batch, entity)
-        good.write.mode("overwrite").parquet(f"{dst}/batch={batch_id}")
-        bad.write.mode("overwrite").parquet(f"{dead}/batch={batch_id}")
+        good.write.mode("overwrite").parquet(f"{run_folder(dst, checkpoint)}/batch={batch_id}")
+        bad.write.mode("overwrite").parquet(f"{run_folder(dead, checkpoint)}/batch={batch_id}")
+        batch.unpersist()
 
     return _start(raw.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint), available_now)
 
@@ -69,7 +76,8 @@ def current_state_stream(typed: DataFrame, keys: list[str], version: str = "sour
 
     The state holds one row per key. Order of arrival and repeats do not
     matter, and no watermark drops late versions. Tombstones stay in the
-    output, flagged, so that a sink can remove the key.
+    output, flagged, so that a sink can remove the key. With many keys, run it
+    on the RocksDB state store, which keeps the state off the heap.
     """
     rest = [c for c in typed.columns if c not in (*keys, version)]
     newest = typed.groupBy(*keys).agg(F.max(F.struct(version, *rest)).alias("_n"))
@@ -83,24 +91,25 @@ def start_upsert(
 
     Every micro-batch appends the keys it moved, one row each, in a folder
     named by the batch id, so a retried batch overwrites its own output.
-    ``read_state`` collapses the batches; ``compact_state`` folds them.
+    ``read_state`` collapses the batches. ``compact_state`` folds them into a
+    new folder, to be run between queries when there are many.
     """
     typed = changes.type_changes(changes.read_changes(spark, src, entity, streaming=True), entity)
 
     def save(batch: DataFrame, batch_id: int) -> None:
         newest = latest_state(batch, KEYS[entity], deleted=None)
-        newest.write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+        newest.write.mode("overwrite").parquet(f"{run_folder(state, checkpoint)}/batch={batch_id}")
 
     return _start(typed.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint), available_now)
 
 
 def read_state(spark: SparkSession, state: str, entity: str) -> DataFrame:
     """Current rows out of the appended batches."""
-    return latest_state(spark.read.parquet(state).drop("batch"), KEYS[entity])
+    return latest_state(spark.read.parquet(state).drop("run", "batch"), KEYS[entity])
 
 
 def compact_state(spark: SparkSession, state: str, entity: str, dst: str) -> DataFrame:
     """Fold all batches into one row per key, tombstones kept so that older repeats stay dead."""
-    folded = latest_state(spark.read.parquet(state).drop("batch"), KEYS[entity], deleted=None)
-    folded.write.mode("overwrite").parquet(f"{dst}/batch=0")
+    folded = latest_state(spark.read.parquet(state).drop("run", "batch"), KEYS[entity], deleted=None)
+    folded.write.mode("overwrite").parquet(f"{run_folder(dst, state)}/batch=0")
     return read_state(spark, dst, entity)
