@@ -16,6 +16,8 @@ CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Documents are long: a thousand of them are a fitting Arrow batch.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
