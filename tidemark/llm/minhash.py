@@ -20,7 +20,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import components, staged
@@ -130,11 +130,10 @@ def _multisets(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[pa.Rec
             at = np.arange(len(hashes))
             nth = at - np.maximum.accumulate(np.where(same, 0, at)) if len(at) else at
             values = mix(hashes + nth.astype(np.uint64) * GOLDEN)
-            bounds = np.searchsorted(texts, np.arange(hi - lo + 1))
-            yield pa.record_batch(
-                [batch.column("id")[lo:hi],
-                 pa.array([np.sort(values[bounds[i]:bounds[i + 1]]).tobytes() for i in range(hi - lo)], pa.binary())],
-                names=["id", "shingles"])
+            values = values[np.lexsort((values, texts))].view(np.int64)
+            bounds = np.searchsorted(texts, np.arange(hi - lo + 1)).astype(np.int32)
+            yield pa.record_batch([batch.column("id")[lo:hi], pa.ListArray.from_arrays(pa.array(bounds), pa.array(values))],
+                                  names=["id", "shingles"])
 
 
 def _verified(batches: Iterable[pa.RecordBatch], share: float) -> Iterator[pa.RecordBatch]:
@@ -142,7 +141,7 @@ def _verified(batches: Iterable[pa.RecordBatch], share: float) -> Iterator[pa.Re
         a, b = batch.column("shingles_a"), batch.column("shingles_b")
         keep = np.zeros(batch.num_rows, bool)
         for i in range(batch.num_rows):
-            x, y = np.frombuffer(a[i].as_buffer(), np.uint64), np.frombuffer(b[i].as_buffer(), np.uint64)
+            x, y = a[i].values.to_numpy(), b[i].values.to_numpy()
             if min(len(x), len(y)) < share * max(len(x), len(y)) or not len(x):
                 continue
             both = len(np.intersect1d(x, y, assume_unique=True))
@@ -158,6 +157,26 @@ def _links(pairs: DataFrame, shingles: DataFrame, share: float) -> DataFrame:
         lambda batches: _verified(batches, share), "a long, b long")
 
 
+def _own_shingles(shingles: DataFrame) -> DataFrame:
+    """(id, n, own): the number of a text's shingles, and of those that no other text of the input has."""
+    once = (shingles.select("id", F.explode("shingles").alias("value")).groupBy("value")
+            .agg(F.min("id").alias("id"), F.count("*").alias("texts")).filter("texts = 1")
+            .groupBy("id").agg(F.count("*").alias("own")))
+    return shingles.select("id", F.size("shingles").cast("long").alias("n")).join(once, "id", "left").select(
+        "id", "n", F.coalesce("own", F.lit(0)).alias("own"))
+
+
+def _possible(share: float) -> Column:
+    """Whether two texts can overlap enough, each one's own shingles being outside of the overlap."""
+    n, own, n_b, own_b = F.col("n"), F.col("own"), F.col("n_b"), F.col("own_b")
+    return (n - own >= share * (n + own_b)) & (n_b - own_b >= share * (n_b + own)) & (
+        F.least(n - own, n_b - own_b) >= share * F.greatest(n, n_b))
+
+
+def _pairs(joined: DataFrame) -> DataFrame:
+    return joined.select(F.least("rep", "rep_b").alias("a"), F.greatest("rep", "rep_b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5,
                     share: float = 0.8) -> DataFrame:
     """(doc_id, class_id, kept) for every row of ``docs``.
@@ -168,11 +187,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     null class; rows that share a doc_id are one document. Other columns are
     not read; an empty table gives an empty result.
 
-    Equal texts are one representative. In a bucket, which shares a band,
-    members are first verified against the smallest member only; members of
-    buckets that then still hold several classes are verified across classes.
-    So a large group of copies costs one pair per member and bucket, and no
-    link that joins two classes is lost within a bucket.
+    Equal texts are one representative. In a bucket, whose members share a
+    band, all are first verified against the smallest; that costs one pair per
+    member and bucket however large a group is. Where a bucket then still holds
+    several classes, shingles that only one of these texts has bound the
+    similarity it can have to any other: texts that cannot reach the threshold
+    leave, the rest is verified against the text with the fewest of its own,
+    and at last across classes wherever the bound allows a link. So no link
+    that joins two classes of a bucket is lost.
     """
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     signed = staged(rows.withColumn("digest", F.md5("text")).mapInArrow(
@@ -189,7 +211,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                    "minhash-pairs")
     members = crowded.select(F.col("rep").alias("id")).distinct()
     shingles = staged(rows.join(members, "id", "left_semi").mapInArrow(
-        lambda batches: _multisets(batches, width), "id long, shingles binary").dropDuplicates(["id"]),
+        lambda batches: _multisets(batches, width), "id long, shingles array<long>").dropDuplicates(["id"]),
         "minhash-shingles")
     links = staged(_links(pairs, shingles, share), "minhash-links")
     classes = staged(components(links, label="minhash-classes"), "minhash-classes")
@@ -198,14 +220,32 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         roots = classes.select(F.col("node").alias(column), F.col("root").alias(f"__{name}"))
         return df.join(roots, column, "left").withColumn(name, F.coalesce(f"__{name}", column)).drop(f"__{name}")
 
-    placed = with_class(with_class(crowded, "rep", "class"), "lead", "lead_class")
-    mixed = placed.groupBy("key").agg(F.max((F.col("class") != F.col("lead_class")).cast("int")).alias("m")).filter("m = 1")
-    across = staged(placed.join(mixed.select("key"), "key", "left_semi").select("key", "rep", "class"), "minhash-across")
-    left = across.select("key", F.col("rep").alias("a"), F.col("class").alias("class_a"))
-    right = across.select("key", F.col("rep").alias("b"), F.col("class").alias("class_b"))
-    rest = (left.join(right, "key").filter("class_a <> class_b AND a < b").select("a", "b").distinct()
-            .join(pairs, ["a", "b"], "left_anti"))
-    more = staged(_links(rest, shingles, share), "minhash-more")
+    def mixed_buckets(df: DataFrame) -> DataFrame:
+        """Rows of buckets that hold more than one class."""
+        several = df.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo <> hi")
+        return df.join(several.select("key"), "key", "left_semi")
+
+    across = staged(mixed_buckets(with_class(crowded.select("key", "rep"), "rep", "class")), "minhash-across")
+    shape = staged(_own_shingles(shingles.join(across.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")),
+                   "minhash-own")
+    able = across.join(shape.filter(F.col("n") - F.col("own") >= share * F.col("n")).withColumnRenamed("id", "rep"), "rep")
+    able = staged(able.select("key", "rep", "n", "own"), "minhash-able")
+
+    # Against the text of each bucket with the smallest share of its own shingles.
+    placed = mixed_buckets(with_class(able, "rep", "class"))
+    centre = placed.groupBy("key").agg(F.min(F.struct((F.col("own") / F.col("n")).alias("s"), "rep", "class", "n", "own")).alias("c"))
+    centre = centre.select("key", *[F.col(f"c.{x}").alias(f"{x}_b") for x in ("rep", "class", "n", "own")])
+    near = _pairs(placed.join(centre, (placed["key"] == centre["key"]) & (F.col("class") != F.col("class_b")) & _possible(share)))
+    more = staged(_links(near.join(pairs, ["a", "b"], "left_anti"), shingles, share), "minhash-more")
+    links = staged(links.unionAll(more), "minhash-links")
+    classes = staged(components(links, label="minhash-classes"), "minhash-classes")
+
+    # Across the classes that are left.
+    placed = staged(mixed_buckets(with_class(able, "rep", "class")), "minhash-left")
+    other = placed.select("key", *[F.col(x).alias(f"{x}_b") for x in ("rep", "class", "n", "own")])
+    rest = _pairs(placed.join(other, (placed["key"] == other["key"]) & (F.col("rep") < F.col("rep_b"))
+                              & (F.col("class") != F.col("class_b")) & _possible(share)))
+    more = staged(_links(rest, shingles, share), "minhash-rest")
     classes = staged(components(links.unionAll(more), label="minhash-classes"), "minhash-classes")
 
     by_text = with_class(reps.select("digest", "rep"), "rep", "class_id").select("digest", "class_id")
