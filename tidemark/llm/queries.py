@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import minhash, mixing, packing, rules
+from tidemark.llm import line_dedup, minhash, mixing, packing, rules
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,8 @@ def _rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_minhash_near_duplicates")
 def _minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=5, share=0.8)
+
+
+@query("op6_line_dedup")
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_classes(table(spark, sf_dir, "documents"), max_edits=2, min_chars=30)
