@@ -173,10 +173,6 @@ def _possible(share: float) -> Column:
         F.least(n - own, n_b - own_b) >= share * F.greatest(n, n_b))
 
 
-def _pairs(joined: DataFrame) -> DataFrame:
-    return joined.select(F.least("rep", "rep_b").alias("a"), F.greatest("rep", "rep_b").alias("b")).distinct()
-
-
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5,
                     share: float = 0.8) -> DataFrame:
     """(doc_id, class_id, kept) for every row of ``docs``.
@@ -187,14 +183,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     null class; rows that share a doc_id are one document. Other columns are
     not read; an empty table gives an empty result.
 
-    Equal texts are one representative. In a bucket, whose members share a
-    band, all are first verified against the smallest; that costs one pair per
-    member and bucket however large a group is. Where a bucket then still holds
-    several classes, shingles that only one of these texts has bound the
-    similarity it can have to any other: texts that cannot reach the threshold
-    leave, the rest is verified against the text with the fewest of its own,
-    and at last across classes wherever the bound allows a link. So no link
-    that joins two classes of a bucket is lost.
+    Equal texts are one representative. Texts of a bucket share a band.
+    Shingles that no other text of the buckets has bound the similarity a text
+    can have to any other: those that cannot reach the threshold leave. In each
+    bucket all others are verified against the one with the smallest share of
+    shingles of its own, which costs one pair per member however large a group
+    is. Where a bucket then still holds several classes, pairs across them are
+    verified wherever the bound allows a link, so no link that joins two
+    classes of a bucket is lost.
     """
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     signed = staged(rows.withColumn("digest", F.md5("text")).mapInArrow(
@@ -204,49 +200,36 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     reps = staged(named.groupBy("digest").agg(F.min("id").alias("rep"), F.min_by("keys", "id").alias("keys")),
                   "minhash-texts")
     banded = reps.select("rep", F.explode("keys").alias("key"))
-    leaders = banded.groupBy("key").agg(F.min("rep").alias("lead"), F.count("*").alias("n")).filter("n > 1")
-    crowded = staged(banded.join(leaders.select("key", "lead"), "key"), "minhash-buckets")
-
-    pairs = staged(crowded.filter("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct(),
-                   "minhash-pairs")
+    shared = banded.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    crowded = staged(banded.join(shared, "key", "left_semi"), "minhash-buckets")
     members = crowded.select(F.col("rep").alias("id")).distinct()
     shingles = staged(rows.join(members, "id", "left_semi").mapInArrow(
         lambda batches: _multisets(batches, width), "id long, shingles array<long>").dropDuplicates(["id"]),
         "minhash-shingles")
-    links = staged(_links(pairs, shingles, share), "minhash-links")
+    shape = _own_shingles(shingles).filter(F.col("n") - F.col("own") >= share * F.col("n")).withColumnRenamed("id", "rep")
+    able = staged(crowded.join(shape, "rep").select("key", "rep", "n", "own"), "minhash-able")
+
+    def across(placed: DataFrame, other: DataFrame, condition: Column) -> DataFrame:
+        """Linked pairs of members of ``placed`` and ``other`` that meet in a bucket."""
+        other = other.select("key", *[F.col(c).alias(f"{c}_b") for c in other.columns if c != "key"])
+        met = placed.join(other, (placed["key"] == other["key"]) & condition & _possible(share))
+        pairs = met.select(F.least("rep", "rep_b").alias("a"), F.greatest("rep", "rep_b").alias("b")).distinct()
+        return staged(_links(pairs, shingles, share), "minhash-links")
+
+    centre = able.groupBy("key").agg(F.min(F.struct((F.col("own") / F.col("n")).alias("s"), "rep", "n", "own")).alias("c"))
+    links = across(able, centre.select("key", "c.rep", "c.n", "c.own"), F.col("rep") != F.col("rep_b"))
     classes = staged(components(links, label="minhash-classes"), "minhash-classes")
 
     def with_class(df: DataFrame, column: str, name: str) -> DataFrame:
         roots = classes.select(F.col("node").alias(column), F.col("root").alias(f"__{name}"))
         return df.join(roots, column, "left").withColumn(name, F.coalesce(f"__{name}", column)).drop(f"__{name}")
 
-    def mixed_buckets(df: DataFrame) -> DataFrame:
-        """Rows of buckets that hold more than one class."""
-        several = df.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo <> hi")
-        return df.join(several.select("key"), "key", "left_semi")
-
-    across = staged(mixed_buckets(with_class(crowded.select("key", "rep"), "rep", "class")), "minhash-across")
-    shape = staged(_own_shingles(shingles.join(across.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")),
-                   "minhash-own")
-    able = across.join(shape.filter(F.col("n") - F.col("own") >= share * F.col("n")).withColumnRenamed("id", "rep"), "rep")
-    able = staged(able.select("key", "rep", "n", "own"), "minhash-able")
-
-    # Against the text of each bucket with the smallest share of its own shingles.
-    placed = mixed_buckets(with_class(able, "rep", "class"))
-    centre = placed.groupBy("key").agg(F.min(F.struct((F.col("own") / F.col("n")).alias("s"), "rep", "class", "n", "own")).alias("c"))
-    centre = centre.select("key", *[F.col(f"c.{x}").alias(f"{x}_b") for x in ("rep", "class", "n", "own")])
-    near = _pairs(placed.join(centre, (placed["key"] == centre["key"]) & (F.col("class") != F.col("class_b")) & _possible(share)))
-    more = staged(_links(near.join(pairs, ["a", "b"], "left_anti"), shingles, share), "minhash-more")
-    links = staged(links.unionAll(more), "minhash-links")
-    classes = staged(components(links, label="minhash-classes"), "minhash-classes")
-
-    # Across the classes that are left.
-    placed = staged(mixed_buckets(with_class(able, "rep", "class")), "minhash-left")
-    other = placed.select("key", *[F.col(x).alias(f"{x}_b") for x in ("rep", "class", "n", "own")])
-    rest = _pairs(placed.join(other, (placed["key"] == other["key"]) & (F.col("rep") < F.col("rep_b"))
-                              & (F.col("class") != F.col("class_b")) & _possible(share)))
-    more = staged(_links(rest, shingles, share), "minhash-rest")
-    classes = staged(components(links.unionAll(more), label="minhash-classes"), "minhash-classes")
+    placed = with_class(able, "rep", "class")
+    several = placed.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo <> hi")
+    placed = staged(placed.join(several.select("key"), "key", "left_semi"), "minhash-left")
+    more = across(placed, placed, (F.col("rep") < F.col("rep_b")) & (F.col("class") != F.col("class_b")))
+    if not more.isEmpty():
+        classes = staged(components(links.unionAll(more), label="minhash-classes"), "minhash-classes")
 
     by_text = with_class(reps.select("digest", "rep"), "rep", "class_id").select("digest", "class_id")
     named_rows = signed.select("id", "digest", "n_shingles")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import line_dedup, minhash, mixing, packing, rules
+from tidemark.llm import embed_dedup, line_dedup, lm, minhash, mixing, packing, quality_classifier, rules, suffix_dedup
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,23 @@ def _minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_line_dedup")
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_classes(table(spark, sf_dir, "documents"), max_edits=2, min_chars=30)
+
+
+@query("op8_quality_classifier")
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op9_repeated_passages")
+def _passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"), length=100)
+
+
+@query("op3_lm_scores")
+def _lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"), folds=7, held_out_fold=2)
+
+
+@query("op4_embedding_near_duplicates")
+def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_vectors(table(spark, sf_dir, "embeddings"), least=0.9)
