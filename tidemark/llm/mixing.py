@@ -139,9 +139,7 @@ MIX_COLUMNS = ("size", "source_size", "target", "copies", "taken")
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with the columns of ``docs``."""
-    rows = mix(docs, **options)
-    kept = [c for c in docs.columns if c not in MIX_COLUMNS]
-    if len(kept) < len(docs.columns):
-        raise ValueError(f"columns {MIX_COLUMNS} of the input would be lost; rename them first")
-    return rows.filter("copies > 0").withColumn(
-        "__copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(*[f"`{c}`" for c in kept])
+    names = {c: f"__in_{c}" for c in docs.columns if c in MIX_COLUMNS}
+    rows = mix(docs.withColumnsRenamed(names), **options).filter("copies > 0")
+    kept = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("__copy", *MIX_COLUMNS)
+    return kept.withColumnsRenamed({v: k for k, v in names.items()}).select(*[f"`{c}`" for c in docs.columns])

@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import embed_dedup, line_dedup, lm, minhash, mixing, packing, quality_classifier, rules, suffix_dedup
+from tidemark.llm import (
+    embed_dedup, html_text, line_dedup, lm, minhash, mixing, packing, quality_classifier, rules, suffix_dedup,
+)
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +142,8 @@ def _lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_embedding_near_duplicates")
 def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_vectors(table(spark, sf_dir, "embeddings"), least=0.9)
+
+
+@query("op5_html_text")
+def _html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
