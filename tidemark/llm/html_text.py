@@ -271,7 +271,8 @@ def train(pages: DataFrame, markup: str = "html", sample: int = SAMPLE) -> DataF
     order = F.pmod(F.xxhash64("html"), F.lit(1_000_000_000))
     share = min(1.0, sample / max(1, own.count()))
     chosen = own.withColumn("order", order).filter(F.col("order") < int(share * 1_000_000_000)).withColumn("group", F.lit(0))
-    return staged(chosen.groupBy("group").applyInArrow(_fit, "emission binary, step binary"), "html-field")
+    return staged(chosen.groupBy("group").applyInArrow(
+        lambda key, rows: _fit(key, rows), "emission binary, step binary"), "html-field")
 
 
 def main_text(page: str, field: Field | None) -> str:
