@@ -118,3 +118,12 @@ def test_view_and_table(spark, tmp_path):
     table = jobs.materialize(orders(spark), "orders_table", "table", str(tmp_path))
     assert rows(view) == rows(table)
     assert lake.partition_report(table).agg(F.sum("rows")).first()[0] == 3
+
+
+def test_an_empty_date_list_reads_nothing(spark, tmp_path):
+    from tidemark.sources.lake import read_lake, write_all
+
+    df = spark.sql("SELECT 1 AS id, DATE '2020-01-01' AS dt UNION ALL SELECT 2, DATE '2020-01-02'")
+    write_all(df, str(tmp_path), "things")
+    assert read_lake(spark, str(tmp_path), "things", []).count() == 0
+    assert read_lake(spark, str(tmp_path), "things").count() == 2

@@ -146,3 +146,11 @@ def test_bucketed_log_is_collapsed_and_joined_without_a_shuffle(spark, tmp_path)
         assert joined.count() == 6
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_no_hidden_row_limit(spark):
+    from tidemark.functions.metric_layer import aggregate_query, raw_query
+
+    mart = spark.range(60_000).selectExpr("id AS category", "CAST(id AS DECIMAL(18,2)) AS revenue", "1L AS orders", "1L AS items")
+    assert aggregate_query(mart, "daily_sales_by_category", ["revenue"], ["category"]).count() == 60_000
+    assert raw_query(mart, ["category"]).count() == 60_000

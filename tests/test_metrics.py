@@ -166,11 +166,11 @@ def test_names_first_rule_wins(spark):
 
 def test_relabelling_of_a_discovered_target(spark):
     meta = "__meta_docker_container_label_prometheus_"
-    base = {"__meta_docker_network_name": "dataplatform", meta + "scrape": "true", "__address__": "10.0.0.5:80",
+    base = {"__meta_docker_network_name": "backend", meta + "scrape": "true", "__address__": "10.0.0.5:80",
             meta + "port": "9187", meta + "job": "postgres", "__meta_docker_container_name": "/pg"}
     df = spark.createDataFrame([(1, base), (2, {**base, meta + "scrape": "false"}),
                                 (3, {**base, "__meta_docker_network_name": "x"})], "id int, labels map<string,string>")
-    out = N.relabel(df, N.DISCOVERY_RULES).collect()
+    out = N.relabel(df, N.discovery_rules("backend")).collect()
     assert [r.id for r in out] == [1]
     labels = out[0].labels
     assert (labels["__address__"], labels["job"], labels["instance"]) == ("10.0.0.5:9187", "postgres", "pg")

@@ -77,8 +77,13 @@ def test_version_report_history_and_tombstones(spark):
 
 def test_insert_absent_ignores_existing_and_repeated_keys(spark):
     have = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
-    new = spark.createDataFrame([(2, "x"), (3, "y"), (3, "y"), (4, "z")], "id int, v string")
-    assert rows(E.insert_absent(have, new, ["id"])) == [(3, "y"), (4, "z")]
+    new = spark.createDataFrame([(2, "x", 1), (3, "z", 2), (3, "a", 1), (3, "zz", 3), (4, "z", 1)], "id int, v string, at int")
+    assert rows(E.insert_absent(have, new, ["id"], "at").select("id", "v")) == [(3, "a"), (4, "z")]
+
+
+def test_null_delete_flag_means_not_deleted(spark):
+    df = spark.createDataFrame([(1, 1, 0), (1, 2, None), (2, 1, None), (2, 2, 1)], "id int, source_lsn long, is_deleted int")
+    assert rows(E.latest_state(df, ["id"]).select("id", "source_lsn")) == [(1, 2)]
 
 
 def test_merge_versions_replaces(spark):

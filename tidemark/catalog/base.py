@@ -164,7 +164,7 @@ SELECT -order_id, customer_id, status, total_amount,
 FROM cur_orders WHERE order_id % 1000 = 1"""),
     "lake_raw": (("orders_log",), """
 SELECT order_id, customer_id, status, total_amount, created_at, updated_at, CAST(created_at AS DATE) AS dt
-FROM orders_log WHERE is_deleted = 0 AND source_lsn % 10 >= 1 AND year(created_at) >= 1998"""),
+FROM orders_log WHERE is_deleted = 0 AND source_lsn % 10 >= 1"""),
     "lake_staged": (("lake_raw",), """
 SELECT * EXCLUDE (rn), CAST(created_at AS DATE) AS order_date, CAST(hour(created_at) AS INT) AS order_hour,
   status = 'cancelled' AS is_cancelled, status IN ('delivered', 'paid') AS is_complete,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import fixtures as X
@@ -193,11 +196,9 @@ FROM (SELECT lag, row_number() OVER (ORDER BY lag) AS r, count(*) OVER () AS n F
 
 
 @query("ingest_latency", sql(
-    LAG_SQL.format(name="orders", view="orders_log") + "\nUNION ALL " + LAG_SQL.format(
-        name="order_items", view="order_items_log"), "orders_log", "order_items_log"))
+    "\nUNION ALL ".join(LAG_SQL.format(name=n, view=f"{n}_log") for n in KEYS), *[f"{n}_log" for n in KEYS]))
 def _(x: Inputs):
-    return monitor.ingest_latency(x.log("orders"), "orders").unionByName(
-        monitor.ingest_latency(x.log("order_items"), "order_items"))
+    return reduce(DataFrame.unionByName, [monitor.ingest_latency(x.log(n), n) for n in KEYS])
 
 
 @query("batch_lag_per_day", sql("""

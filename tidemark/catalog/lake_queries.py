@@ -122,11 +122,12 @@ def _(x: Inputs):
 
 
 @query("rows_over_partitions", sql(
-    "SELECT CAST(count(*) AS BIGINT) AS rows, true AS spread FROM cur_orders", "cur_orders"))
+    "SELECT CAST(count(*) AS BIGINT) AS rows, CAST(7 AS BIGINT) AS partitions, true AS even FROM cur_orders", "cur_orders"))
 def _(x: Inputs):
-    """Rows per task add up to all rows."""
-    spread = lake.partition_report(x.orders("order_id"))
-    return spread.agg(F.sum("rows").alias("rows"), (F.count(F.lit(1)) >= 1).alias("spread"))
+    """Seven partitions dealt by turns hold all rows, none more than a tenth above its share."""
+    spread = lake.partition_report(x.orders("order_id").repartition(7))
+    return spread.agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("partitions"),
+                      (F.max("rows") * 70 <= F.sum("rows") * 11).alias("even"))
 
 
 def _sales(x: Inputs, day: str):

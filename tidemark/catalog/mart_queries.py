@@ -466,12 +466,15 @@ def _(x: Inputs):
     )
 
 
-@query("placement_keeps_keys_together", sql("SELECT count(DISTINCT order_id) AS keys, CAST(1 AS BIGINT) AS buckets_per_key FROM cur_items", "cur_items"))
-def _(x: Inputs):
-    """The placement hash puts all lines of an order into one bucket."""
-    spread = x.items("order_id").groupBy("order_id").agg(
-        F.count_distinct(S.placement("order_id", 16)).alias("b"))
-    return spread.agg(F.count(F.lit(1)).alias("keys"), F.max("b").alias("buckets_per_key"))
+@query("placement_keeps_keys_together", sql("""
+SELECT count(DISTINCT order_id) AS keys, CAST(16 AS BIGINT) AS buckets, true AS balanced FROM cur_items""", "cur_items"))
+def _(x: Inputs):
+    """The placement hash uses all sixteen buckets; none holds less than half or more than twice its share of keys."""
+    per_bucket = x.items("order_id").select("order_id").distinct().groupBy(S.placement("order_id", 16).alias("b")).agg(
+        F.count(F.lit(1)).alias("n"))
+    share = F.sum("n") / 16
+    return per_bucket.agg(F.sum("n").alias("keys"), F.count(F.lit(1)).alias("buckets"),
+                          ((F.min("n") * 2 >= share) & (F.max("n") <= share * 2)).alias("balanced"))
 
 
 @query("array_functions_of_consumers", sql("""

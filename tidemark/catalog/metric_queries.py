@@ -323,7 +323,7 @@ def _(x: Inputs):
     uid, eid = F.col("user_id"), F.col("event_id")
     labels = F.map_concat(
         F.create_map(
-            F.lit("__meta_docker_network_name"), F.when(uid % 5 == 0, "bridge").otherwise("dataplatform"),
+            F.lit("__meta_docker_network_name"), F.when(uid % 5 == 0, "bridge").otherwise("backend"),
             F.lit(meta + "scrape"), F.when(F.col("event_type") == "signup", "false").otherwise("true"),
             F.lit("__address__"), F.concat(F.lit("10.0.0."), (uid % 50).cast("string"), F.lit(":80")),
             F.lit(meta + "port"), (eid % 7 + 9000).cast("string"),
@@ -332,7 +332,7 @@ def _(x: Inputs):
             F.lit(meta + "path"), F.when(eid % 4 == 0, "/minio/v2/metrics/cluster").otherwise(""),
             F.lit(meta + "job"), F.when(eid % 3 == 0, F.col("event_type")).otherwise(""),
         ))
-    done = N.relabel(x.table("events").select("event_id", labels.alias("labels")), N.DISCOVERY_RULES)
+    done = N.relabel(x.table("events").select("event_id", labels.alias("labels")), N.discovery_rules("backend"))
     return done.select("event_id", *[
         F.try_element_at("labels", F.lit(k)).alias(v)
         for k, v in {"__address__": "address", "__metrics_path__": "path", "job": "job", "instance": "instance"}.items()])

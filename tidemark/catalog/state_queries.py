@@ -208,11 +208,12 @@ def _(x: Inputs):
 
 
 @query("insert_absent_customers", sql("""
-SELECT customer_id, email FROM cur_customers WHERE customer_id % 3 <> 0""", "cur_customers"))
+SELECT customer_id, email, 1 AS arrival FROM cur_customers WHERE customer_id % 3 <> 0""", "cur_customers"))
 def _(x: Inputs):
     cur = x.customers("customer_id", "email")
     existing = cur.filter(F.col("customer_id") % 3 == 0)
-    return E.insert_absent(existing, cur.unionAll(cur), ["customer_id"])
+    again = cur.withColumns({"email": F.concat(F.lit("a later "), "email"), "arrival": F.lit(2)})
+    return E.insert_absent(existing, again.unionAll(cur.withColumn("arrival", F.lit(1))), ["customer_id"], "arrival")
 
 
 @query("mart_rows_by_version", sql("""

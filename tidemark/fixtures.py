@@ -186,13 +186,12 @@ def orders_control(current_orders: DataFrame) -> DataFrame:
 
 
 def lake_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lake export from 1998 on, with superseded versions left in."""
+    """Lake export of all days, with superseded versions left in."""
     return (
         orders_log(spark, sf_dir)
         .filter(
             (F.col("is_deleted") == 0)
             & (F.col("source_lsn") % 10 >= 1)
-            & (F.year("created_at") >= 1998)
         )
         .select(
             "order_id", "customer_id", "status", "total_amount", "created_at", "updated_at",

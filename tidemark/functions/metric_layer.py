@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalar as S
 
-# Fixed value: rows a query returns when it does not say.
-DEFAULT_ROW_LIMIT = 50_000
-
 # Time grains by their ISO-8601 duration.
 GRAINS = {"P1D": "DAY", "P1W": "WEEK", "P1M": "MONTH", "P3M": "QUARTER", "P1Y": "YEAR", "PT1H": "HOUR"}
 
@@ -73,11 +70,11 @@ def aggregate_query(
     metrics: list[str],
     groupby: list[str] | tuple[str, ...] = (),
     order_by: list[tuple[str, bool]] | tuple = (),
-    limit: int = DEFAULT_ROW_LIMIT,
+    limit: int | None = None,
     time_column: str | None = None,
     grain: str | None = None,
 ) -> DataFrame:
-    """Metrics by group; ``order_by`` lists (column, descending)."""
+    """Metrics by group; ``order_by`` lists (column, descending). All groups, unless ``limit`` says otherwise."""
     groups: list = list(groupby)
     if time_column:
         ts = F.col(time_column)
@@ -86,17 +83,21 @@ def aggregate_query(
             ts = ts if grain.startswith("PT") else ts.cast("date")
         groups.insert(0, ts.alias(time_column))
     out = df.groupBy(*groups).agg(*[metric(dataset, m) for m in metrics])
-    return _ordered(out, order_by).limit(limit)
+    return _limited(_ordered(out, order_by), limit)
 
 
 def raw_query(
     df: DataFrame,
     columns: list[str],
     order_by: list[tuple[str, bool]] | tuple = (),
-    limit: int = DEFAULT_ROW_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Plain rows of a dataset."""
-    return _ordered(df.select(*columns), order_by).limit(limit)
+    """Plain rows of a dataset: all of them, unless ``limit`` says otherwise."""
+    return _limited(_ordered(df.select(*columns), order_by), limit)
+
+
+def _limited(df: DataFrame, limit: int | None) -> DataFrame:
+    return df if limit is None else df.limit(limit)
 
 
 def _ordered(df: DataFrame, order_by) -> DataFrame:

@@ -126,8 +126,7 @@ class RelabelRule:
 
 
 # How discovered containers become scrape targets.
-DISCOVERY_RULES = [
-    RelabelRule(("__meta_docker_network_name",), "dataplatform", "keep"),
+TARGET_RULES = [
     RelabelRule(("__meta_docker_container_label_prometheus_scrape",), "true", "keep"),
     RelabelRule(("__address__", "__meta_docker_container_label_prometheus_port"),
                 r"([^:]+)(?::\d+)?;(\d+)", target="__address__", replacement="$1:$2"),
@@ -138,6 +137,11 @@ DISCOVERY_RULES = [
 ]
 
 
+def discovery_rules(network: str) -> list[RelabelRule]:
+    """Containers of one network that ask to be scraped, as targets."""
+    return [RelabelRule(("__meta_docker_network_name",), network, "keep"), *TARGET_RULES]
+
+
 def _without(labels: str, key: str) -> Column:
     return F.map_filter(labels, lambda k, _: k != F.lit(key))
 

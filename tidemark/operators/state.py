@@ -23,14 +23,14 @@ def latest_state(
     that tie are ordered by ``tiebreak`` and then by the remaining columns.
     ``columns`` names what the caller needs; a struct is not pruned otherwise.
     Tombstones are removed only after the newest version is known, so a key
-    deleted and inserted again is kept.
+    deleted and inserted again is kept. A null delete flag means not deleted.
     """
     wanted = [c for c in (columns or log.columns) if c not in keys]
     marker = [deleted] if deleted else []
     fields = list(dict.fromkeys([version, *tiebreak, *wanted, *marker]))
     newest = log.groupBy(*keys).agg(F.max(F.struct(*fields)).alias("_newest"))
     if deleted:
-        newest = newest.filter(F.col(f"_newest.{deleted}") == 0)
+        newest = newest.filter(F.coalesce(F.col(f"_newest.{deleted}"), F.lit(0)) == 0)
     out = [c for c in (columns or log.columns)]
     return newest.select(*[c if c in keys else F.col(f"_newest.{c}").alias(c) for c in out])
 
@@ -61,7 +61,7 @@ def version_report(
         parts.append(per_key.agg(
             F.lit(name).alias("table"),
             F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("source_rows"),
-            F.count_if(F.col("gone") == 0).cast("bigint").alias("staged_rows"),
+            F.count_if(F.coalesce("gone", F.lit(0)) == 0).cast("bigint").alias("staged_rows"),
         ))
     report = reduce(DataFrame.unionByName, parts)
     return report.withColumn("collapsed", F.col("source_rows") - F.col("staged_rows"))
@@ -82,11 +82,9 @@ def merge_versions(existing: DataFrame, new: DataFrame, keys: list[str], version
     return latest_state(existing.unionByName(new), keys, version=version, deleted=None)
 
 
-def insert_absent(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``new`` whose key is not there yet, one per key."""
-    once = latest_state(new, keys, version=_first_other(new, keys), deleted=None)
-    return once.join(existing.select(*keys).distinct(), keys, "left_anti")
-
-
-def _first_other(df: DataFrame, keys: list[str]) -> str:
-    return next((c for c in df.columns if c not in keys), keys[0])
+def insert_absent(existing: DataFrame, new: DataFrame, keys: list[str], version: str) -> DataFrame:
+    """Rows of ``new`` whose key is not there yet; of a key that arrives more than once, the first by ``version``."""
+    others = [c for c in new.columns if c not in keys]
+    once = new.groupBy(*keys).agg(F.min_by(F.struct(*others), version).alias("_first"))
+    first = once.select(*[c if c in keys else F.col(f"_first.{c}").alias(c) for c in new.columns])
+    return first.join(existing.select(*keys).distinct(), keys, "left_anti")

@@ -230,6 +230,7 @@ def spine(samples: DataFrame, step: int) -> DataFrame:
     return (
         bounds.filter(F.col("_a").isNotNull())
         .select("_a", "_b", F.explode(F.sequence(_div(F.col("_a"), size), _div(F.col("_b"), size))).alias("_block"))
+        .repartition("_block")  # else one task makes the whole time axis
         .select(F.explode(inside).alias("_no"))
         .select(_at(F.col("_no"), step).alias("t"))
     )

@@ -37,9 +37,9 @@ def partition_path(root: str, entity: str, day: str) -> str:
 
 
 def read_lake(spark: SparkSession, root: str, entity: str, dates: list[str] | None = None) -> DataFrame:
-    """All days of an entity, or some of them; a date list prunes directories."""
+    """All days of an entity, or some of them; a date list prunes directories, an empty one reads nothing."""
     df = spark.read.parquet(entity_path(root, entity))
-    if dates:
+    if dates is not None:
         df = df.filter(F.col("dt").isin(*[F.lit(d).cast("date") for d in dates]))
     return df
 
