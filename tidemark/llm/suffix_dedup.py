@@ -8,7 +8,8 @@ construction runs on short texts of equal width instead, in two steps:
    with the smallest hash is its anchor, so equal strings have equal anchors at
    the same place, and neighbouring strings mostly share one. Only an anchor
    that occurs more than once can lie in a repeated string; the bytes around it
-   that hold all strings it anchors are its context.
+   that hold all strings it anchors are its context. The strings of an anchor
+   that very many texts share get wider anchors, which are rarer.
 2. Columns. The contexts of a bucket of anchors are lined up at their anchors.
    Round by round, from the last column to the first, one symbol of each is put
    before its suffix: the order of the suffixes and the common prefixes of
@@ -26,12 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import release, staged
 from tidemark.llm.words import VALUES, mix, powers, slices
 
 K = 32  # bytes of an anchor
 BUCKET = 2_000  # contexts that are sorted together, on average
-HOT = 1_000  # anchors with more contexts are dealt out by string instead
+WIDE = 80  # bytes of the anchors that take the place of hot ones
+HOT = 1_000  # an anchor with more contexts is hot
 
 
 def _rolling(data: np.ndarray, width: int) -> np.ndarray:
@@ -42,13 +44,13 @@ def _rolling(data: np.ndarray, width: int) -> np.ndarray:
     return mix((total[width:] - total[:-width]) * inverse[:len(data) + 1 - width])
 
 
-def anchors(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """(hash, place, first start, last start, text) of each anchor with the run of strings that it anchors."""
+def anchors(data: np.ndarray, bounds: np.ndarray, length: int, k: int = K, wanted: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """(hash, place, first start, last start, text) of each anchor with the run of ``wanted`` strings that it anchors."""
     none = (np.zeros(0, np.uint64),) + (np.zeros(0, np.int64),) * 4
     if len(data) < length:
         return none
-    hashes = _rolling(data, K)
-    window = length - K + 1
+    hashes = _rolling(data, k)
+    window = length - k + 1
     # The hash's upper half and the place: among equal hashes the leftmost is the smallest.
     least = (hashes >> np.uint64(32) << np.uint64(32)) | np.arange(len(hashes), dtype=np.uint64)
     size = 1
@@ -62,7 +64,8 @@ def anchors(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarr
     long = sizes >= length
     np.add.at(inside, bounds[:-1][long], 1)
     np.add.at(inside, bounds[1:][long] - length + 1, -1)
-    starts = np.flatnonzero(np.cumsum(inside)[:len(least)] > 0)
+    valid = np.cumsum(inside)[:len(least)] > 0
+    starts = np.flatnonzero(valid if wanted is None else valid & wanted[:len(least)])
     if not len(starts):
         return none
     place = (least[starts] & np.uint64(0xFFFFFFFF)).astype(np.int64)
@@ -83,49 +86,57 @@ def _anchor_rows(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.
                                   names=["hash", "id", "place"])
 
 
-CONTEXTS = "hot boolean, hash long, key long, id long, place long, first long, last long, context binary"
+CONTEXTS = "hash long, id long, place long, first long, last long, context binary"
 
 
 def _context_rows(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """The context of each repeated anchor; of a hot one a hash of every string instead."""
+    """The context of each repeated anchor. The strings of a hot one get wider anchors, which fewer texts share."""
     for batch in batches:
         ids = batch.column("id").to_numpy(zero_copy_only=False)
         for lo, hi, data, bounds in slices(batch.column("text")):
-            hashes, place, first, last, text = anchors(data, bounds, length)
-            wanted = batch.column("places").slice(lo, hi - lo)
-            counts = np.diff(wanted.offsets.to_numpy())
-            values = wanted.flatten()
-            at = values.field("place").to_numpy() + np.repeat(bounds[:-1], counts)
+            found = anchors(data, bounds, length)
+            listed = batch.column("places").slice(lo, hi - lo)
+            values = listed.flatten()
+            at = values.field("place").to_numpy() + np.repeat(bounds[:-1], np.diff(listed.offsets.to_numpy()))
             hot = values.field("hot").to_numpy(zero_copy_only=False)
+            if not len(at) or not len(found[0]):
+                continue
             order = np.argsort(at)
             at, hot = at[order], hot[order]
-            spot = np.minimum(np.searchsorted(at, place), max(len(at) - 1, 0))
-            keep = np.flatnonzero(at[spot] == place) if len(at) else np.zeros(0, np.int64)
-            is_hot = hot[spot[keep]] if len(at) else np.zeros(0, bool)
-            cold, warm = keep[~is_hot], keep[is_hot]
-            if len(cold):
-                base, n = bounds[text[cold]], len(cold)
+            spot = np.minimum(np.searchsorted(at, found[1]), len(at) - 1)
+            repeated = at[spot] == found[1]
+            hot = repeated & hot[spot]
+            sets = [[x[repeated & ~hot] for x in found]]
+            if hot.any():
+                edge = np.zeros(len(data) + 1, np.int64)
+                np.add.at(edge, found[2][hot], 1)
+                np.add.at(edge, found[3][hot] + 1, -1)
+                sets.append(anchors(data, bounds, length, WIDE, np.cumsum(edge) > 0))
+            for hashes, place, first, last, text in sets:
+                base = bounds[text]
                 yield pa.record_batch([
-                    pa.array(np.zeros(n, bool)), pa.array(hashes[cold].view(np.int64)), pa.nulls(n, pa.int64()),
-                    pa.array(ids[lo + text[cold]]), pa.array(place[cold] - base), pa.array(first[cold] - base),
-                    pa.array(last[cold] - base),
-                    pa.array([data[f:e + length].tobytes() for f, e in zip(first[cold], last[cold])], pa.binary())],
+                    pa.array(hashes.view(np.int64)), pa.array(ids[lo + text]), pa.array(place - base), pa.array(first - base),
+                    pa.array(last - base), pa.array([data[f:e + length].tobytes() for f, e in zip(first, last)], pa.binary())],
                     names=CONTEXT_NAMES)
-            if len(warm):
-                strings = _rolling(data, length)
-                runs = last[warm] - first[warm] + 1
-                who = np.repeat(warm, runs)
-                start = np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs) + first[who]
-                base, n = bounds[text[who]], len(who)
-                yield pa.record_batch([
-                    pa.array(np.ones(n, bool)), pa.array(hashes[who].view(np.int64)), pa.array(strings[start].view(np.int64)),
-                    pa.array(ids[lo + text[who]]), pa.array(place[who] - base), pa.array(start - base),
-                    pa.array(start - base), pa.nulls(n, pa.binary())], names=CONTEXT_NAMES)
 
 
 CONTEXT_NAMES = [c.split()[0] for c in CONTEXTS.split(", ")]
 
 
+def _strings(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Every string of the contexts by its hash."""
+    for batch in batches:
+        for lo, hi, data, bounds in slices(batch.column("context")):
+            hashes = _rolling(data, length)
+            runs = np.diff(bounds) - length + 1
+            who = np.repeat(np.arange(hi - lo), runs)
+            nth = np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs)
+            take = pa.array(who + lo)
+            first = batch.column("first").to_numpy()[lo + who] + nth
+            yield pa.record_batch([batch.column("hash").take(take), pa.array(hashes[bounds[who] + nth].view(np.int64)),
+                                   batch.column("id").take(take), pa.array(first)], names=["hash", "key", "id", "first"])
+
+
 def _range_minimum(values: np.ndarray) -> list[np.ndarray]:
     table, step = [values], 1
     while 2 * step <= len(values):
@@ -236,8 +247,8 @@ def repeated_passages(docs: DataFrame, length: int = 100, doc_id: str = "doc_id"
     text and are one document. Other columns are not read; an empty table gives
     an empty result.
     """
-    if not K < length <= 255:
-        raise ValueError(f"length must be more than {K} and at most 255")
+    if not WIDE < length <= 255:
+        raise ValueError(f"length must be more than {WIDE} and at most 255")
     null_id = -(2**63)
     rows = docs.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(null_id)).alias("id"),
                        F.col(f"`{text}`").cast("string").alias("text"))
@@ -245,16 +256,21 @@ def repeated_passages(docs: DataFrame, length: int = 100, doc_id: str = "doc_id"
     repeated = staged(found.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1"), "suffix-repeated")
     places = staged(found.join(repeated, "hash").groupBy("id").agg(
         F.collect_list(F.struct("place", (F.col("n") > HOT).alias("hot"))).alias("places")), "suffix-places")
+    release(found)
     contexts = staged(rows.join(places, "id").mapInArrow(lambda b: _context_rows(b, length), CONTEXTS), "suffix-contexts")
 
-    cold = contexts.filter("NOT hot")
-    buckets = max(1, -(-cold.count() // BUCKET))
+    # Anchors that are hot even so stand in long passages that very many documents share.
+    many = staged(contexts.groupBy("hash").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("hash"), "suffix-hot")
+    cold = contexts.join(many, "hash", "left_anti")
+    buckets = max(1, -(-contexts.count() // BUCKET))
     runs = cold.withColumn("bucket", F.pmod(F.xxhash64("hash"), F.lit(buckets))).groupBy("bucket").applyInArrow(
         lambda key, table: _repeated(key, table, length), "id long, first long, last long")
-    strings = contexts.filter("hot").select("hash", "key", "id", "first", "last")
+    strings = contexts.join(many, "hash", "left_semi").mapInArrow(
+        lambda b: _strings(b, length), "hash long, key long, id long, first long")
     earliest = (strings.groupBy("hash", "key").agg(F.min(F.struct("id", "first")).alias("at"), F.count("*").alias("n"))
                 .filter("n > 1").select("hash", "key", "at"))
-    later = strings.join(earliest, ["hash", "key"]).filter(F.struct("id", "first") != F.col("at")).select("id", "first", "last")
+    later = strings.join(earliest, ["hash", "key"]).filter(F.struct("id", "first") != F.col("at")).select(
+        "id", "first", F.col("first").alias("last"))
     spans = staged(runs.unionAll(later).groupBy("id").agg(F.collect_list(F.struct("first", "last")).alias("runs")), "suffix-spans")
     cut = rows.join(spans, "id", "left").mapInArrow(
         lambda b: _cut(b, length, with_text), RESULT + (", kept binary" if with_text else ""))
