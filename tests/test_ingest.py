@@ -14,7 +14,7 @@ from tidemark.streaming import ingest, monitor
 
 def message(lsn, op="u", deleted="false", **row):
     base = {"customer_id": 7, "email": "a@example.com", "full_name": "A", "country_code": "DE",
-            "created_at": "2025-03-09T07:41:12.250999Z", "updated_at": "2025-03-10T22:05:30.718204Z"}
+            "created_at": "2025-03-09T07:41:12.251999Z", "updated_at": "2025-03-10T22:05:30.718204Z"}
     base.update(row)
     base.update({"__op": op, "__deleted": deleted, "__source_lsn": lsn, "__source_ts_ms": 1741644330718,
                  "__table": "customers", "not_declared": [1, 2]})
@@ -29,13 +29,13 @@ def put(folder, name, lines):
 def test_typing_of_wire_values(spark):
     line = json.dumps({
         "order_id": 88, "customer_id": 31, "status": "paid", "total_amount": "73.40",
-        "created_at": "2025-03-09T07:41:12.250999Z", "updated_at": "2025-03-10T22:05:30.718204Z",
+        "created_at": "2025-03-09T07:41:12.251999Z", "updated_at": "2025-03-10T22:05:30.718204Z",
         "__deleted": "true", "__op": "d", "__source_lsn": 904411, "__source_ts_ms": 1741644330718, "__table": "orders"})
     raw = spark.createDataFrame([(line,)], "value string")
     typed = C.type_orders(C.parse_strict(raw, "orders"))
     got = typed.withColumns({c: F.col(c).cast("string") for c in ("created_at", "source_ts")}).first()
     assert (got.total_amount, got.is_deleted, got.op) == (Decimal("73.40"), 1, "d")
-    assert got.created_at == "2025-03-09 07:41:12.250"
+    assert got.created_at == "2025-03-09 07:41:12.251"
     assert got.source_ts == "2025-03-10 22:05:30.718"
     assert dict(typed.dtypes)["total_amount"] == "decimal(12,2)"
 
