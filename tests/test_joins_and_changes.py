@@ -65,3 +65,15 @@ def test_topk_and_repeatable_sample(spark):
     ids = spark.range(1000)
     one, two = rows(K.sample_k(ids, 10, "id", 3)), rows(K.sample_k(ids.repartition(7), 10, "id", 3))
     assert one == two and one != rows(K.sample_k(ids, 10, "id", 4))
+
+
+def test_quantiles_of_close_large_values(spark):
+    from tidemark.operators.aggregates import _narrow, _on_groups, quantiles
+
+    df = spark.range(200_000).selectExpr("900000000000 + id AS v", "'g' AS g")
+    got = quantiles(df, "v", ["g"]).first()
+    assert (got.p50, got.p90, got.p99) == (900000099999, 900000179999, 900000197999)
+    counts = df.selectExpr("g", "v AS _v", "1L AS _n")
+    totals = df.selectExpr("g", "200000L AS _total", "0L AS _below").distinct()
+    # One round leaves three parts of the range to look into, not the whole group.
+    assert _narrow(_on_groups(counts, totals, ["g"]), ["g"], [])[0].count() < 200

@@ -68,56 +68,71 @@ QUANTILES = (0.5, 0.9, 0.99)
 def quantiles(df: DataFrame, col: str, by: list[str], accuracy: int | None = None) -> DataFrame:
     """Median, 0.9 and 0.99 quantile per group; with ``accuracy`` from a bounded sketch.
 
-    Without it the values are exact nearest-rank quantiles. They are found in
-    two steps so that no group has to sit in one buffer: equal values are
-    counted before the shuffle, a logarithmic bucket of about one per cent of
-    the value holds each rank, and only values inside a bucket are ordered.
+    Without it the values are exact nearest-rank quantiles, found without
+    putting a group into one buffer: equal values are counted before the
+    shuffle, the group's own range is cut into ``SPLIT`` parts, each part that
+    holds a wanted rank is cut again by its own range, and only values of the
+    last parts are ordered.
     """
     if accuracy is not None:
         return df.groupBy(*by).agg(
             *[F.percentile_approx(col, p, accuracy).alias(_quantile_name(p)) for p in QUANTILES]
         )
     value = F.col(col)
-    bucket = F.signum(value) * F.floor(F.log1p(F.abs(value)) * 100)
-    counts = (
-        df.filter(value.isNotNull())
-        .groupBy(*by, value.alias("_v"), bucket.cast("int").alias("_b"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    below = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    totals = counts.groupBy(*by, "_b").agg(F.sum("_n").alias("_bn")).select(
-        *[F.col(c).alias(f"_g_{c}") for c in by],
-        F.col("_b").alias("_g_b"),
-        "_bn",
-        F.coalesce(F.sum("_bn").over(below), F.lit(0)).alias("_below"),
-        F.sum("_bn").over(Window.partitionBy(*by)).alias("_total"),
-    )
-
-    def rank(p: float) -> Column:
-        return F.ceil(F.lit(p) * F.col("_total"))
-
-    def holds(p: float, before: Column, n: Column) -> Column:
-        return (before < rank(p)) & (rank(p) <= before + n)
-
-    # Only buckets that hold a wanted rank are looked into: three per group at most.
-    hit = F.lit(False)
-    for p in QUANTILES:
-        hit = hit | holds(p, F.col("_below"), F.col("_bn"))
-    same = F.col("_b") == F.col("_g_b")
-    for c in by:
-        same = same & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    counts = df.filter(value.isNotNull()).groupBy(*by, value.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    totals = counts.groupBy(*by).agg(F.sum("_n").alias("_total"), F.lit(0).cast("bigint").alias("_below"))
+    parts: list[str] = []
+    rows = _on_groups(counts, totals, by)
+    for _ in range(2):
+        rows, parts = _narrow(rows, by, parts)
     upto = F.sum("_n").over(
-        Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    ranked = counts.join(totals.filter(hit), same).withColumn(
-        "_before", F.col("_below") + upto - F.col("_n")
+        Window.partitionBy(*by, *parts).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     )
+    ranked = rows.withColumn("_before", F.col("_below") + upto - F.col("_n"))
     found = [
-        F.max(F.when(holds(p, F.col("_before"), F.col("_n")), F.col("_v"))).alias(_quantile_name(p))
+        F.max(F.when(_holds(p, F.col("_before"), F.col("_n")), F.col("_v"))).alias(_quantile_name(p))
         for p in QUANTILES
     ]
     return ranked.groupBy(*by).agg(*found)
 
 
+# Parts a range is cut into; two rounds leave one sixteen-millionth of a group's range to be ordered.
+SPLIT = 4096
+
+
+def _holds(p: float, before: Column, n: Column) -> Column:
+    rank = F.ceil(F.lit(p) * F.col("_total"))
+    return (before < rank) & (rank <= before + n)
+
+
+def _on_groups(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on keys that may be null."""
+    other = groups.withColumnsRenamed({k: f"_g{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_g{k}"))
+    # Without keys the other side is a single row of totals.
+    return rows.join(other if keys else F.broadcast(other), same).drop(*[f"_g{k}" for k in keys])
+
+
+def _narrow(rows: DataFrame, by: list[str], parts: list[str]) -> tuple[DataFrame, list[str]]:
+    """Cut each part by its own range and keep the new parts that hold a wanted rank, three per group at most."""
+    groups, name = [*by, *parts], f"_part{len(parts)}"
+    ranges = rows.groupBy(*groups).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    low, width = F.col("_lo").cast("double"), F.col("_hi").cast("double") - F.col("_lo").cast("double")
+    part = F.least(F.floor((F.col("_v").cast("double") - low) / width * SPLIT), F.lit(SPLIT - 1))
+    cut = _on_groups(rows, ranges, groups).withColumn(
+        name, F.when((width > 0) & (width < float("inf")), part).otherwise(0).cast("int")).drop("_lo", "_hi")
+    before = Window.partitionBy(*groups).orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
+    sums = cut.groupBy(*groups, name).agg(
+        F.sum("_n").alias("_rows"), F.first("_below").alias("_below"), F.first("_total").alias("_total")
+    ).withColumn("_below", F.col("_below") + F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    hit = F.lit(False)
+    for p in QUANTILES:
+        hit = hit | _holds(p, F.col("_below"), F.col("_rows"))
+    kept = sums.filter(hit).drop("_rows")
+    return _on_groups(cut.drop("_below", "_total"), kept, [*groups, name]), [*parts, name]
+
+
 def _quantile_name(p: float) -> str:
     return f"p{round(p * 100)}"
