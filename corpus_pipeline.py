@@ -20,7 +20,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that equal, or nearly equal, an earlier one."""
-    return line_dedup.drop_repeated_lines(docs, max_edits=2, min_chars=30)
+    return line_dedup.drop_repeated_lines(docs, max_edits=2, min_chars=1)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

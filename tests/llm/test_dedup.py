@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 
-from tidemark.llm import embed_dedup, line_dedup, minhash, suffix_dedup
+from tidemark.llm import embed_dedup, line_dedup, minhash, queries, suffix_dedup
 from tidemark.llm.common import components, table
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -122,6 +122,31 @@ def test_lines_against_all_pairs(spark):
         assert texts.get(d) == ("\n".join(left) if any(s.strip() for s in left) else None)
 
 
+def test_short_lines_against_all_pairs(spark):
+    random.seed(9)
+    pool = ["".join(random.choice("abé ") for _ in range(random.choice([1, 2, 5, 9, 10, 11, 12, 13, 20, 31]))) for _ in range(60)]
+    pool += [s[:p] + "z" + s[p + random.choice([0, 1]):] for s in pool for p in [random.randrange(len(s) + 1)]]
+    rows = [(d, "\n".join(random.choice(pool) for _ in range(4))) for d in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    places = [(d, i, s) for d, t in rows for i, s in enumerate(t.split("\n")) if s.strip()]
+    lines = sorted({s for *_, s in places})
+    linked = [(a, b) for i, a in enumerate(lines) for b in lines[:i] if min(len(a), len(b)) >= 11 and edits(a, b) <= 2]
+    root, degree = classes(lines, linked), Counter(x for pair in linked for x in pair)
+    first: dict = {}
+    for d, i, s in places:
+        first[root[s]] = min(first.get(root[s], (d, i)), (d, i))
+    got = {(r.doc_id, r.line_no): (r.class_doc_id, r.class_line_no, r.n_links, r.kept)
+           for r in line_dedup.line_classes(df, max_edits=2, min_chars=1).collect()}
+    assert got == {(d, i): (*first[root[s]], degree[s], (d, i) == first[root[s]]) for d, i, s in places}
+
+
+def test_registered_line_query_has_every_line_with_a_word(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents").collect()
+    want = {(r.doc_id, i) for r in docs for i, s in enumerate((r.text or "").split("\n")) if WORD.search(s)}
+    got = queries.QUERIES["op6_line_dedup"](spark, "/root/testdata/sf0.001").collect()
+    assert {(r.doc_id, r.line_no) for r in got} == want
+
+
 def test_lines_on_odd_rows(messy, nothing):
     out = line_dedup.drop_repeated_lines(messy)
     assert out.columns == messy.columns and line_dedup.line_classes(nothing).count() == 0
