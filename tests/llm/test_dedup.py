@@ -216,3 +216,33 @@ def test_vectors_against_all_pairs(spark):
     assert all(by_id[i].n_links <= near[i].sum() for i in range(700))
     assert all(by_id[i].n_links == 0 and by_id[i].kept for i in (800, 801, 802, 803, 804, 805)) and by_id[807].component_id == 806
     assert by_id[None].n_links == 0 and embed_dedup.near_vectors(df.filter("false")).count() == 0
+
+
+def test_vectors_that_no_link_leads_to_are_found():
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((900, 24))
+    x[600:] = x[0] + 0.02 * rng.standard_normal((300, 24))  # a third in one group, whose links outnumber the others
+    x[1:200:2] = x[2:201:2] + 0.05 * rng.standard_normal((100, 24))
+    x = embed_dedup.normalised(x)
+    graph = embed_dedup.Graph(x)
+    for links in graph.layers:
+        links[np.isin(links, np.arange(1, 201))] = -1
+    near = x @ x.T >= 0.9
+    found = graph.within(x, 0.9)
+    hit = [set(np.flatnonzero(near[i])) <= set(found[i].tolist()) for i in range(900)]
+    assert all(hit[1:201])
+
+
+def test_equal_vectors_are_all_counted(spark):
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((40, 8))
+    rows = [(i, x[0].tolist()) for i in range(400)] + [(400 + i, v.tolist()) for i, v in enumerate(x)]
+    rows += [(500 + i, (v + 1e-3).tolist()) for i, v in enumerate(x[:20])]
+    every = embed_dedup.normalised(np.array([v for _, v in rows]))
+    near = every @ every.T >= 0.9
+    np.fill_diagonal(near, False)
+    ids = [i for i, _ in rows]
+    want = classes(ids, [(ids[a], ids[b]) for a, b in zip(*np.nonzero(near))])
+    got = embed_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == {
+        i: (int(near[k].sum()), want[i], want[i] == i) for k, i in enumerate(ids)}
