@@ -194,6 +194,20 @@ def test_passages_of_documents_and_odd_rows(spark, messy, nothing):
     assert odd[5].n_bytes == 0 and odd[10].n_removed == odd[10].n_bytes > 0 and odd[6].n_removed > 0
 
 
+def test_passages_of_a_repeated_row(spark, monkeypatch):
+    random.seed(10)
+    alone = "".join(random.choice("abcdefgh ") for _ in range(400))
+    twice = "".join(random.choice("abcdefgh ") for _ in range(150))
+    rows = [(1, alone), (1, alone), (2, twice + "!" + twice), (2, twice + "!" + twice), (3, "x" + twice), (4, "short"), (4, "short")]
+    want = brute_passages([(i, t.encode()) for i, t in dict(rows).items()])
+    assert want[1][1] == 0 and want[2][1] == 150
+    for hot in (10**9, 0):
+        monkeypatch.setattr(suffix_dedup, "HOT", hot)
+        got = [(r.doc_id, (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)) for r in suffix_dedup.repeated_passages(
+            spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+        assert sorted(got) == sorted((i, want[i]) for i, _ in rows)
+
+
 def test_vectors_against_all_pairs(spark):
     rng = np.random.default_rng(4)
     x = rng.standard_normal((700, 24))

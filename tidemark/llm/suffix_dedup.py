@@ -235,6 +235,16 @@ def _cut(batches: Iterable[pa.RecordBatch], length: int, with_text: bool) -> Ite
                               names=list(out) + (["kept"] if with_text else []))
 
 
+def _once(rows: DataFrame) -> DataFrame:
+    """``rows`` (id, text) without repetitions. Texts are compared (by a 128-bit hash) only where an id occurs again."""
+    again = staged(rows.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").select("id"), "suffix-again")
+    if again.isEmpty():
+        return rows
+    once = rows.join(again, "id", "left_semi").groupBy(
+        "id", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit("second"), "text").alias("h2")).agg(F.first("text").alias("text"))
+    return rows.join(again, "id", "left_anti").unionAll(once.select("id", "text"))
+
+
 def repeated_passages(docs: DataFrame, length: int = 100, doc_id: str = "doc_id", text: str = "text",
                       with_text: bool = False) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with ``with_text`` the kept bytes.
@@ -252,12 +262,13 @@ def repeated_passages(docs: DataFrame, length: int = 100, doc_id: str = "doc_id"
     null_id = -(2**63)
     rows = docs.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(null_id)).alias("id"),
                        F.col(f"`{text}`").cast("string").alias("text"))
-    found = staged(rows.mapInArrow(lambda b: _anchor_rows(b, length), "hash long, id long, place long"), "suffix-anchors")
+    texts = _once(rows)
+    found = staged(texts.mapInArrow(lambda b: _anchor_rows(b, length), "hash long, id long, place long"), "suffix-anchors")
     repeated = staged(found.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1"), "suffix-repeated")
     places = staged(found.join(repeated, "hash").groupBy("id").agg(
         F.collect_list(F.struct("place", (F.col("n") > HOT).alias("hot"))).alias("places")), "suffix-places")
     release(found)
-    contexts = staged(rows.join(places, "id").mapInArrow(lambda b: _context_rows(b, length), CONTEXTS), "suffix-contexts")
+    contexts = staged(texts.join(places, "id").mapInArrow(lambda b: _context_rows(b, length), CONTEXTS), "suffix-contexts")
 
     # Anchors that are hot even so stand in long passages that very many documents share.
     many = staged(contexts.groupBy("hash").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("hash"), "suffix-hot")
