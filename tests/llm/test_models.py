@@ -108,6 +108,25 @@ def test_html_field_on_other_templates(spark):
         assert value(rng.integers(0, 2, len(best)).tolist()) <= value(best) + 1e-9
 
 
+def test_html_reads_no_labels_from_pages_and_keeps_what_follows_empty_elements():
+    for attribute in ('data-youtube="x"', 'data-year="2020"', 'data-y="12.5"', "data-y", 'data-y="3"'):
+        found = html_text.blocks(f"<div {attribute}>text</div>")
+        assert [(b.text, b.label) for b in found] == [("text", None)]
+    page = '<article data-y="12.5"><p data-yy="z">some words of the text<p>and more of them</article>'
+    found = html_text.blocks(html_text.varied(page, np.random.default_rng(1)))
+    assert {b.label for b in found if "some words of the text" == b.text} == {1}
+    assert html_text.fit([page], epochs=1).decode(html_text.features(html_text.blocks(page)))
+    assert html_text.blocks('<div data-id="nav" title="class=menu">x</div>')[0].hints == []
+
+    def texts(page):
+        return [b.text for b in html_text.blocks(page)]
+
+    assert texts('<p>a</p><svg width="5" /><p>b</p><iframe/><p>c</p><svg><text>no</text></svg><iframe src="u"></iframe><p>d</p>') == list("abcd")
+    assert texts("<script src=/u/>no</script><p>a</p>") == ["a"]
+    assert texts("<article><p>where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p><button>More</button>"
+                 "<object>instead</object><noscript>plain</noscript></article>") == ["where x=2 holds", "More", "instead", "plain"]
+
+
 def test_html_on_odd_rows(spark):
     rows = [(1, "u", None), (2, None, ""), (None, None, "<p>a &amp; b<p>c"), (3, "u", "<article><p>x</article>"), (3, "u", "<article><p>x</article>"),
             (4, "u", "no markup"), (5, "u", "<script>if (a < b) {"), (6, "u", "<" * 500), (7, "u", "<article>" + "<div>" * 3000 + "deep")]

@@ -32,9 +32,11 @@ BITS = 14
 EPOCHS = 6
 
 # Elements (fixed values).
-SILENT = frozenset("script style noscript template svg head title iframe object select textarea button canvas math".split())
+SILENT = frozenset("script style template svg head title iframe select textarea canvas annotation annotation-xml".split())
 INLINE = frozenset("a abbr b bdi bdo cite code data del dfn em font i img ins kbd label mark q s samp small span strong sub "
-                   "sup time tt u var wbr br acronym big".split())
+                   "sup time tt u var wbr br acronym big "
+               "math maction menclose mfrac mi mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup "
+               "mtable mtd mtext mtr munder munderover semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 OUTSIDE = frozenset("aside form nav header footer".split())
 # What the names of classes and ids tell, by their beginnings.
@@ -43,7 +45,9 @@ HINTS = ("nav", "menu", "head", "foot", "side", "ad", "advert", "banner", "comme
          "tag", "widget", "legal", "copyright", "pager", "article", "content", "main", "post", "entry", "story", "body", "text")
 
 _MARK = re.compile(r"<!--.*?(?:-->|\Z)|<(?:[!?])[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S)
-_ATTRIBUTE = re.compile(r"(class|id|role|itemprop|data-y|hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'=/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+_TELLING = frozenset("class id role itemprop hidden".split())
+_EMPTY = re.compile(r"(?:^|[\s\"'])/\s*\Z")  # a stroke that ends the tag and no attribute's value
 _NAMES = re.compile(r"[a-z]+")
 
 
@@ -59,8 +63,18 @@ class Block:
         self.label = next((e[2] for e in reversed(stack) if e[2] is not None), None)
 
 
+class Varied(str):
+    """A page whose labels stand in the attribute ``mark``, a name that the page it was made from does not hold."""
+
+    mark: str
+
+
 def blocks(page: str) -> list[Block]:
-    """Text blocks of a page in order; white space inside is one space, references are decoded."""
+    """Text blocks of a page in order; white space inside is one space, references are decoded.
+
+    Labels are read from a ``Varied`` page only.
+    """
+    mark_name = getattr(page, "mark", None)
     found: list[Block] = []
     stack: list[tuple] = []  # (tag, hints, label)
     pieces: list[tuple[str, bool]] = []
@@ -99,6 +113,8 @@ def blocks(page: str) -> list[Block]:
                     del stack[i:]
                     break
             continue
+        if name in SILENT and _EMPTY.search(mark.group(3)):
+            continue
         if name in SILENT:
             close = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
             at = close.end() if close else (size if name in ("script", "style") else at)
@@ -111,9 +127,9 @@ def blocks(page: str) -> list[Block]:
         hints, label = [], None
         for key, value in _ATTRIBUTE.findall(mark.group(3)):
             key, value = key.lower(), value.strip("\"'").lower()
-            if key == "data-y":
+            if key == mark_name:
                 label = int(value)
-            elif key != "style":
+            elif key in _TELLING:
                 words = _NAMES.findall(value)
                 hints += [h for w in words for h in HINTS if w == h or (len(h) > 3 and w.startswith(h))]
         stack.append((name, hints, label))
@@ -147,12 +163,15 @@ def _labels(page: list[Block]) -> np.ndarray | None:
     return None
 
 
-def varied(page: str, rng: np.random.Generator) -> str | None:
+def varied(page: str, rng: np.random.Generator) -> Varied | None:
     """The page with its telling element renamed and boilerplate of its own words put around and into it."""
     begin, end = page.find("<article"), page.rfind("</article>")
     if begin < 0 or end < begin:
         return None
     start = page.find(">", begin) + 1
+    mark = "data-y"
+    while mark in page.lower():
+        mark += "y"
     words = re.sub(r"<[^>]*>", " ", page[start:end]).split()[:400] or ["x"]
 
     def some(n: int) -> str:
@@ -162,15 +181,15 @@ def varied(page: str, rng: np.random.Generator) -> str | None:
         kind = rng.integers(0, 9)
         t = [some(int(rng.integers(2, 25))) for _ in range(3)]
         return [
-            f'<aside data-y="0"><h3>{t[0][:30]}</h3><p>{t[1]}</p></aside>',
-            f'<div class="sidebar" data-y="0"><h3>{t[0][:30]}</h3><p>{t[1]}</p></div>',
-            f'<div class="cookie-notice" data-y="0"><p>{t[0]}</p></div>',
-            f'<form data-y="0"><p>{t[0]}</p><label>{t[1][:20]}</label></form>',
-            f'<section id="comments" data-y="0"><h3>{t[2][:20]}</h3><div class="comment"><p>{t[0]}</p></div><div class="comment"><p>{t[1]}</p></div></section>',
-            f'<div class="advert" data-y="0">{t[0]}</div>',
-            f'<div class="related" data-y="0"><ul><li><a href="#">{t[0]}</a></li><li><a href="#">{t[1]}</a></li></ul></div>',
-            f'<header data-y="0"><p>{t[0]}</p></header>',
-            f'<div class="share" data-y="0"><a href="#">{t[0][:12]}</a> <a href="#">{t[1][:12]}</a></div>',
+            f'<aside {mark}="0"><h3>{t[0][:30]}</h3><p>{t[1]}</p></aside>',
+            f'<div class="sidebar" {mark}="0"><h3>{t[0][:30]}</h3><p>{t[1]}</p></div>',
+            f'<div class="cookie-notice" {mark}="0"><p>{t[0]}</p></div>',
+            f'<form {mark}="0"><p>{t[0]}</p><label>{t[1][:20]}</label></form>',
+            f'<section id="comments" {mark}="0"><h3>{t[2][:20]}</h3><div class="comment"><p>{t[0]}</p></div><div class="comment"><p>{t[1]}</p></div></section>',
+            f'<div class="advert" {mark}="0">{t[0]}</div>',
+            f'<div class="related" {mark}="0"><ul><li><a href="#">{t[0]}</a></li><li><a href="#">{t[1]}</a></li></ul></div>',
+            f'<header {mark}="0"><p>{t[0]}</p></header>',
+            f'<div class="share" {mark}="0"><a href="#">{t[0][:12]}</a> <a href="#">{t[1][:12]}</a></div>',
         ][kind]
 
     name = ["article", "main", 'div class="content"', 'div class="post"', 'div id="main"', "section", "div", 'div class="entry"'][rng.integers(0, 8)]
@@ -182,7 +201,9 @@ def varied(page: str, rng: np.random.Generator) -> str | None:
         inner = inner[:cut] + extra() + inner[cut:]
     before = "".join(extra() for _ in range(rng.integers(0, 3)))
     after = "".join(extra() for _ in range(rng.integers(0, 4)))
-    return f'{page[:begin]}{before}<{name} data-y="1">{inner}</{tag}>{after}{page[end + len("</article>"):]}'
+    out = Varied(f'{page[:begin]}{before}<{name} {mark}="1">{inner}</{tag}>{after}{page[end + len("</article>"):]}')
+    out.mark = mark
+    return out
 
 
 class Field:
