@@ -67,6 +67,17 @@ def test_ids_are_those_of_the_tokenizers_library(spark):
     assert packing.Encoder(public_tokenizers.path("byte_bpe_50k.json"))(texts[-40:]) == want[-40:]
 
 
+def test_added_tokens_have_the_ids_of_the_library(spark):
+    texts = ["<|endoftext|>", "a<|endoftext|> b  c <|endoftext|><|endoftext|>\n\n d", "none <|endoftext| >", "", " x   <|endoftext|>   y"]
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    want = [array("I", e.ids).tobytes() for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    for file in (queries.TOKENIZER, path):
+        assert packing.Encoder(file, added=packing.added_tokens(file))(texts) == want
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: bytes(r.ids) for r in packing.pack(df, queries.TOKENIZER, keep_ids=True).collect()}
+    assert got == {i: w + array("I", [2]).tobytes() for i, w in enumerate(want)}
+
+
 def test_packing_round_trip(spark, messy, nothing):
     slow = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     pieces = packing.pack(messy, queries.TOKENIZER, keep_ids=True).collect()
