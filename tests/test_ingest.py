@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from tables import rows
 from tidemark.operators.state import history, latest_state, tombstones
 from tidemark.schemas import KEYS, row_schema, wire_schema
 from tidemark.sources import changes as C

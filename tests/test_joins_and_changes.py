@@ -1,4 +1,4 @@
-from conftest import rows
+from tables import rows
 from tidemark.operators import aggregates as A
 from tidemark.operators import changes as C
 from tidemark.operators import joins as J

@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from tables import rows
 from tidemark.plans import jobs
 from tidemark.session import shared_dir
 from tidemark.sources import lake

@@ -3,7 +3,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from tables import rows
 from tidemark.functions.metric_layer import aggregate_query, metric, raw_query
 from tidemark.operators import aggregates as A
 from tidemark.plans import charts, marts, staging

@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from tables import rows
 from tidemark.functions import names as N
 from tidemark.operators import timeseries as TS
 from tidemark.plans import alerts, panels

@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from tables import rows
 from tidemark.operators import quality as Q
 from tidemark.plans import checks
 

@@ -4,7 +4,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import rows
+from tables import rows
 from tidemark.operators import sequences as Q
 from tidemark.schemas import ALLOWED_TRANSITIONS
 

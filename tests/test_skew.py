@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from tables import rows
 from tidemark.operators import quality as Q
 from tidemark.operators import sequences as S
 from tidemark.operators import timeseries as TS

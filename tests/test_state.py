@@ -4,7 +4,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from tables import rows
 from tidemark.operators import state as E
 
 SCHEMA = "k string, status string, amount decimal(12,2), op string, source_lsn bigint, is_deleted int"
