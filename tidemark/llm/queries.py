@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
-    embed_dedup, html_text, line_dedup, lm, minhash, mixing, packing, quality_classifier, rules, suffix_dedup,
+    embed_dedup, html_text, line_dedup, lm, minhash, mixing, packing, prefix_trie, quality_classifier, rules, suffix_dedup,
 )
 from tidemark.llm.common import table
 
@@ -147,3 +147,49 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_html_text")
 def _html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+TRIE_SQL = """
+WITH own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+    coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, xor(list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+      lambda c: CAST(ascii(c) AS BIGINT)), lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)),
+      lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END), CAST(4294967295 AS BIGINT)),
+      4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM own) q),
+head AS (
+  SELECT c.conv_id, o.pos, o.role, o.text FROM convs c JOIN own o ON o.conv_id = c.base AND o.pos <= c.h),
+tail AS (
+  SELECT o.conv_id, 1000000 + o.pos AS pos, o.role, o.text FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.pos > c.h),
+rebuilt AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY pos) AS pos, length(text) AS n,
+    md5(length(role) || ':' || role || text) AS id
+  FROM (SELECT * FROM head UNION ALL SELECT * FROM tail) q),
+paths AS (
+  SELECT conv_id, pos AS depth, n, string_agg(id, '') OVER (PARTITION BY conv_id ORDER BY pos
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS path FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+ends AS (
+  SELECT path, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends_sha256
+  FROM (SELECT conv_id, max_by(path, depth) AS path FROM paths GROUP BY conv_id) q GROUP BY path),
+nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(n) AS weight,
+    CASE WHEN depth > 0 THEN left(path, 32 * (CAST(depth AS INT) - 1)) END AS parent
+  FROM paths GROUP BY path, depth),
+children AS (SELECT parent AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY parent),
+marked AS (SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM nodes n LEFT JOIN children c USING (path)),
+sums AS (
+  SELECT left(path, 32 * CAST(up AS INT)) AS path, sum(weight) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT *, unnest(range(depth + 1)) AS up FROM marked) q GROUP BY 1)
+SELECT m.conv_id, m.depth, p.conv_id AS parent_conv_id, m.n_convs, CAST(m.n_children AS BIGINT) AS n_children,
+  CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens,
+  coalesce(e.ends_sha256, sha256('')) AS ends_sha256
+FROM marked m JOIN sums s USING (path) LEFT JOIN nodes p ON p.path = m.parent LEFT JOIN ends e ON e.path = m.path"""
+
+
+@query("op13_conversation_trie", TRIE_SQL)
+def _trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"), group=100, most=6)
