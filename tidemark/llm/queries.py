@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
-    embed_dedup, html_text, line_dedup, lm, minhash, mixing, packing, prefix_trie, quality_classifier, rules, suffix_dedup,
+    embed_dedup, html_text, language_id, lexical_search, line_dedup, lm, minhash, mixing, packing, prefix_trie,
+    quality_classifier, rules, suffix_dedup,
 )
 from tidemark.llm.common import table
 
@@ -193,3 +194,40 @@ FROM marked m JOIN sums s USING (path) LEFT JOIN nodes p ON p.path = m.parent LE
 @query("op13_conversation_trie", TRIE_SQL)
 def _trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"), group=100, most=6)
+
+
+@query("op12_language_id")
+def _languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.languages(table(spark, sf_dir, "documents"), folds=4, held_out_fold=2)
+
+
+SEARCH_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+total AS (SELECT count(*) AS n_docs, sum(len(terms)) AS n_terms FROM docs WHERE len(terms) > 0),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+tf AS (
+  SELECT row, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT row, unnest(terms) AS term FROM docs) q
+  WHERE term IN (SELECT term FROM asked) GROUP BY row, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, total GROUP BY term),
+sizes AS (
+  SELECT row, doc_id, 50 + (50 * CAST(len(terms) AS BIGINT) * n_docs) // CAST(n_terms AS BIGINT) AS m FROM docs, total),
+scores AS (
+  SELECT a.item_id, s.doc_id, s.row, CAST(sum(w.w * ((1000000000 * f.tf) // (1000 * f.tf + 20 * s.m))) AS BIGINT) AS score
+  FROM asked a JOIN weights w USING (term) JOIN tf f USING (term) JOIN sizes s ON s.row = f.row
+  GROUP BY a.item_id, s.doc_id, s.row),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INT) AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50"""
+
+
+@query("op11_lexical_search", SEARCH_SQL)
+def _search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
