@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from tables import rows
 from tidemark.operators import aggregates as A
 from tidemark.operators import changes as C
@@ -68,12 +70,33 @@ def test_topk_and_repeatable_sample(spark):
 
 
 def test_quantiles_of_close_large_values(spark):
-    from tidemark.operators.aggregates import _narrow, _on_groups, quantiles
-
     df = spark.range(200_000).selectExpr("900000000000 + id AS v", "'g' AS g")
-    got = quantiles(df, "v", ["g"]).first()
+    got = A.quantiles(df, "v", ["g"], most=1_000).first()
     assert (got.p50, got.p90, got.p99) == (900000099999, 900000179999, 900000197999)
-    counts = df.selectExpr("g", "v AS _v", "1L AS _n")
-    totals = df.selectExpr("g", "200000L AS _total", "0L AS _below").distinct()
-    # One round leaves three parts of the range to look into, not the whole group.
-    assert _narrow(_on_groups(counts, totals, ["g"]), ["g"], [])[0].count() < 200
+
+
+def test_quantiles_bracket_whatever_the_values(spark, monkeypatch):
+    """Outliers, values a double cannot tell apart, two values only, NaN and null groups; no window above its bound."""
+    df = spark.range(300_000).selectExpr(
+        "CASE id WHEN 7 THEN 1e10 WHEN 9 THEN 1e18 ELSE 5 + id / 1e9 END AS close",
+        "cast(9007199254740993000 + pmod(hash(id), 300000) AS bigint) AS large",
+        "cast(CASE WHEN id % 10 < 5 THEN 1 ELSE 2 END AS decimal(30, 10)) AS two",
+        "CASE WHEN id % 3 = 0 THEN double('NaN') WHEN id % 3 = 1 THEN double('-Infinity') ELSE id END AS odd",
+        "CASE WHEN id % 2 = 0 THEN 'g' END AS g")
+    held, inside = [], A._inside
+
+    def watched(rows, parts):
+        out = inside(rows, parts)
+        held[:] = [out]
+        return out
+
+    monkeypatch.setattr(A, "_inside", watched)
+    for column in ("close", "large", "two", "odd"):
+        want = {}
+        for r in df.groupBy("g").agg(F.sort_array(F.collect_list(column)).alias("v"), F.count(F.lit(1)).alias("n")).collect():
+            want[r.g] = [str(r.v[-(-r.n * p // 100) - 1]) for p in (50, 90, 99)]
+        got = {r.g: [str(r.p50), str(r.p90), str(r.p99)] for r in A.quantiles(df, column, ["g"], most=5_000).collect()}
+        assert got == want
+        last = held[0].groupBy("_g", "_rank").agg(F.count_distinct("_v").alias("n")).agg(F.max("n")).first()[0]
+        assert last <= 6_000, (column, last)
+    assert A.quantiles(df, "close", []).count() == 1 and A.quantiles(df.filter("false"), "close", ["g"]).count() == 0
