@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +12,7 @@ from tidemark.functions import scalar as S
 from tidemark.operators.quality import landed
 from tidemark.plans import marts, staging
 from tidemark.session import shared_dir
-from tidemark.sources import lake
+from tidemark.sources import lake, manifest
 from tidemark.sources.lake import VerificationError, WriteReport
 
 EXPORT_COLUMNS = ["order_id", "customer_id", "status", "total_amount", "created_at", "updated_at"]
@@ -41,10 +44,14 @@ def export_day(orders: DataFrame, root: str, day: str, dry_run: bool = False):
     return lake.write_partition(rows.sortWithinPartitions("order_id"), root, "orders", day)
 
 
+def dated(orders: DataFrame) -> DataFrame:
+    """Current orders as the raw layer holds them, with their day."""
+    return orders.select(*EXPORT_COLUMNS).withColumn("dt", F.to_date("created_at"))
+
+
 def export_all(orders: DataFrame, root: str) -> WriteReport:
     """Write every day of current orders to the raw layer."""
-    rows = orders.select(*EXPORT_COLUMNS).withColumn("dt", F.to_date("created_at"))
-    return lake.write_all(rows, root, "orders")
+    return lake.write_all(dated(orders), root, "orders")
 
 
 def promote(
@@ -81,22 +88,27 @@ def mart_path(root: str, name: str = "daily_sales_by_category") -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def upsert_mart_day(rows: DataFrame, root: str, day: str) -> WriteReport:
-    """Replace a day of the sales mart as a whole.
+def upsert_mart_day(
+    rows: DataFrame, root: str, day: str, checks: Iterable[Callable[[DataFrame], None]] = ()
+) -> WriteReport:
+    """Replace a day of the sales mart as a whole, once its rows are verified.
 
     A category that no longer sells, and a day that is now empty, leave no old
     rows behind; other days are not touched.
     """
-    return lake.write_verified(rows.drop("day"), f"{mart_path(root)}/day={day}")
+    path = mart_path(root)
+    published = manifest.publish(rows.withColumn("day", F.lit(day).cast("date")), path, "day", [day], checks)
+    return lake.report(path, published, [day])
 
 
 def rebuild_mart(rows: DataFrame, root: str) -> WriteReport:
-    """Write every day of the sales mart."""
-    return lake.write_verified(rows.hint("rebalance", "day"), mart_path(root), ["day"])
+    """Write every day of the sales mart; readers see the old mart until all of it is verified."""
+    path = mart_path(root)
+    return lake.report(path, manifest.publish(rows.hint("rebalance", "day"), path, "day"))
 
 
-def read_mart(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(mart_path(root))
+def read_mart(spark: SparkSession, root: str, days: list[str] | None = None) -> DataFrame:
+    return manifest.read(spark, mart_path(root), days)
 
 
 def run_day(
@@ -110,13 +122,15 @@ def run_day(
         sales = sales.withColumn("computed_at", F.lit(computed_at).cast("timestamp_ntz"))
 
     if dry_run:
-        steps = [("export", export_day(orders, "", day, dry_run=True)), ("mart", sales)]
+        exported = export_day(orders, "", day, dry_run=True)
+        staged = staging.stage_lake_rows(exported.withColumn("dt", F.lit(day).cast("date")))
+        steps = [("export", exported), ("staged", staged), ("mart", sales)]
         lines = [
             df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(s).alias("step"), "rows",
                                                           F.lit("dry run").alias("status"))
             for s, df in steps
         ]
-        return lines[0].unionByName(lines[1])
+        return reduce(DataFrame.unionByName, lines)
 
     raw_root, staged_root, curated = (f"{root.rstrip('/')}/{layer}" for layer in lake.LAYERS)
     done = [("export", export_day(orders, raw_root, day))]
@@ -125,10 +139,12 @@ def run_day(
     computed = shared_dir(spark, "mart-day")
     sales.write.parquet(computed)
     sales = spark.read.schema(sales.schema).parquet(computed)
-    done.append(("mart", upsert_mart_day(sales, curated, day)))
-    here = read_mart(spark, curated).filter(S.in_day("day", day))
-    if not landed(here, sales, ["day", "category"]).isEmpty():
-        raise VerificationError(f"mart rows of {day} are missing")
+
+    def arrived(back: DataFrame) -> None:
+        if not landed(back, sales, ["day", "category"]).isEmpty():
+            raise VerificationError(f"mart rows of {day} are missing")
+
+    done.append(("mart", upsert_mart_day(sales, curated, day, [arrived])))
     return spark.createDataFrame(
         [(step, r.read_back, r.status) for step, r in done], "step string, rows bigint, status string"
     )
