@@ -13,7 +13,7 @@ from tidemark.catalog.base import Inputs, sql
 from tidemark.operators.state import latest_state
 from tidemark.schemas import KEYS
 from tidemark.sources import changes as C
-from tidemark.streaming import ingest, monitor
+from tidemark.streaming import ingest, levels, monitor
 
 
 def _messages(x: Inputs, entity: str):
@@ -186,6 +186,29 @@ def _(x: Inputs):
         "product_id", "category", "price", "source_lsn")
 
 
+def _levelled(x: Inputs) -> str:
+    table = x.scratch("levels")
+    levels.start_levelled_upsert(
+        x.spark, _out_of_order(x, "orders") + "/*", table, "orders", x.scratch("ckpt"), options={"maxFilesPerTrigger": "4"},
+    ).awaitTermination()
+    return table
+
+
+@query("levelled_state_orders", CURRENT_SQL)
+def _(x: Inputs):
+    """Several batches, late and repeated versions among them, merged by levels."""
+    return _plain(levels.read_levels(x.spark, _levelled(x), KEYS["orders"]).select(*CURRENT))
+
+
+@query("levelled_state_lookup", sql("""
+SELECT order_id, status, total_amount, source_lsn FROM cur_orders WHERE order_id % 1500 = 7""", "cur_orders"))
+def _(x: Inputs):
+    """A few keys out of the levels: only files whose range holds one of them are opened."""
+    wanted = [r[0] for r in x.orders("order_id").filter("order_id % 1500 = 7").collect()]
+    return levels.read_levels(x.spark, _levelled(x), KEYS["orders"], lookup=wanted).select(
+        "order_id", "status", "total_amount", "source_lsn")
+
+
 # lag, freshness and progress
 
 LAG_SQL = """

@@ -8,6 +8,7 @@ from tidemark.catalog import query
 from tidemark.catalog.base import Inputs, sql
 from tidemark.operators import changes as C
 from tidemark.operators import sequences as Q
+from tidemark.operators import asof
 from tidemark.operators import state as E
 from tidemark.schemas import ALLOWED_TRANSITIONS, KEYS
 from tidemark.sources.control import CONTROL_COLUMNS, ControlSource, read_control
@@ -226,3 +227,23 @@ def _(x: Inputs):
     again = mart.filter(F.col("day") >= "1998-01-01").select(
         "day", "category", (F.col("revenue") + 1).cast("decimal(18,2)").alias("revenue"), F.lit(2).alias("run"))
     return E.merge_versions(first, again, ["day", "category"], "run")
+
+
+@query("order_validity", sql("""
+SELECT order_id, valid_from, valid_to, status, total_amount FROM (
+  SELECT order_id, source_lsn AS valid_from, lead(source_lsn) OVER (PARTITION BY order_id ORDER BY source_lsn) AS valid_to,
+    status, total_amount, is_deleted FROM orders_log) q WHERE is_deleted = 0""", "orders_log"))
+def _(x: Inputs):
+    return asof.validity(x.log("orders"), ["order_id"], ["status", "total_amount"])
+
+
+@query("order_as_of_each_line", sql("""
+SELECT i.order_item_id, i.order_id, i.position, CASE WHEN o.is_deleted = 0 THEN o.status END AS status,
+  CASE WHEN o.is_deleted = 0 THEN o.total_amount END AS total_amount
+FROM (SELECT order_item_id, order_id, order_id * 10 - 1 + order_item_id % 6 AS position FROM order_items_log) i
+ASOF LEFT JOIN orders_log o ON o.order_id = i.order_id AND o.source_lsn <= i.position""", "order_items_log", "orders_log"))
+def _(x: Inputs):
+    """One question per order line: the order as a reader of the log up to some position saw it."""
+    lines = x.log("order_items").select(
+        "order_item_id", "order_id", (F.col("order_id") * 10 - 1 + F.col("order_item_id") % 6).alias("position"))
+    return asof.as_of_join(lines, x.log("orders"), ["order_id"], "position", ["status", "total_amount"])

@@ -32,11 +32,17 @@ class VerificationError(RuntimeError):
 
 @dataclass(frozen=True)
 class Entry:
-    """A published folder: ``partition`` is the value of the partition column, or None without one."""
+    """A published folder or file: ``partition`` is the value of the partition column, or None without one.
+
+    Files that are sorted by a key carry their key range and the level of their run.
+    """
 
     partition: str | None
     path: str
     rows: int
+    level: int = 0
+    low: int | str | None = None
+    high: int | str | None = None
 
 
 @dataclass(frozen=True)
@@ -181,6 +187,10 @@ def publish(
     return swap(spark, table, change, at_ms)
 
 
+def schema_of(found: Manifest) -> T.StructType:
+    return T.StructType.fromJson(json.loads(found.schema))
+
+
 def read(
     spark: SparkSession, table: str, partitions: list[str] | None = None, version: int | None = None
 ) -> DataFrame:
@@ -188,7 +198,7 @@ def read(
     found = load(spark, table, version)
     if found is None:
         raise AnalysisException(f"nothing is published at {table}")
-    schema = T.StructType.fromJson(json.loads(found.schema))
+    schema = schema_of(found)
     wanted = [e for e in found.entries if e.rows and (partitions is None or e.partition in set(partitions))]
     if not wanted:
         return spark.createDataFrame([], schema)
