@@ -113,10 +113,12 @@ def test_malformed_line_halts_the_stream(spark, tmp_path):
 def test_dead_letter_stream_goes_on(spark, tmp_path):
     put(tmp_path / "in", "a.json", [message(1), "{broken", message(2)])
     ingest.start_ingest_with_dead_letters(
-        spark, str(tmp_path / "in"), str(tmp_path / "log"), str(tmp_path / "dead"), "customers", str(tmp_path / "c")
+        spark, str(tmp_path / "in"), str(tmp_path / "log"), "customers", str(tmp_path / "c")
     ).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "log")).count() == 2
-    assert [r.value for r in spark.read.parquet(str(tmp_path / "dead")).collect()] == ["{broken"]
+    assert ingest.read_log(spark, str(tmp_path / "log")).count() == 2
+    assert [r.value for r in ingest.read_dead_letters(spark, str(tmp_path / "log")).collect()] == ["{broken"]
+    plan = C.flag_dead_letters(C.read_messages(spark, str(tmp_path / "in")), "customers")._jdf.queryExecution().toString()
+    assert plan.split("== Physical Plan ==")[1].count("FileScan text") == 1
 
 
 def test_upserted_state_survives_repeats_and_late_versions(spark, tmp_path):

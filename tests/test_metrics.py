@@ -54,6 +54,13 @@ def test_instant_shows_the_newest_value_for_the_lookback(spark):
     assert got == {at(15): 1, at(30): 3, at(45): 3, at(60): 3}
 
 
+def test_instant_shows_nothing_older_than_a_lookback_below_the_step(spark):
+    df = keyed(samples(spark, (1, "g", {}, 1), (580, "g", {}, 2), (1190, "g", {}, 3)))
+    got = {r.t: r.value for r in TS.instant(df, ["series"], 600, 30).collect()}
+    assert got == {at(600): 2, at(1200): 3}
+    assert TS.instant(df.filter("value = 1"), ["series"], 600, 30).isEmpty()
+
+
 def test_up_targets_and_sums(spark):
     df = samples(spark, (1, "up", {"job": "k", "i": "1"}, 1), (2, "up", {"job": "k", "i": "2"}, 0),
                  (3, "up", {"job": "k", "i": "3"}, 1), (3, "up", {"job": "x", "i": "3"}, 1))

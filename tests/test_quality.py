@@ -3,6 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tables import rows
+from tidemark import catalog
 from tidemark.operators import quality as Q
 from tidemark.plans import checks
 
@@ -41,9 +42,75 @@ def test_report_passes_with_warnings_only(spark):
     assert Q.summary(failed).first().outcome == "failed"
 
 
-def test_number_of_declared_checks():
-    n = sum(len(c) for c in checks.NOT_NULL.values()) + len(checks.ACCEPTED) + len(checks.UNIQUE) + len(checks.RELATIONSHIPS)
-    assert n == 48
+# What must be checked, written out: a rule that is lost or loosened in the code fails here.
+DECLARED = """
+error accepted_values recon_orders_by_source(verdict)
+error accepted_values stg_orders(status)
+error not_null customer_order_summary(country_code)
+error not_null customer_order_summary(customer_id)
+error not_null customer_order_summary(lifetime_value)
+error not_null customer_order_summary(orders_placed)
+error not_null daily_sales_by_category(category)
+error not_null daily_sales_by_category(day)
+error not_null daily_sales_by_category(orders)
+error not_null daily_sales_by_category(revenue)
+error not_null recon_orders_by_source(order_date)
+error not_null recon_orders_by_source(verdict)
+error not_null stg_control_customers(customer_id)
+error not_null stg_control_customers(email)
+error not_null stg_control_orders(order_id)
+error not_null stg_control_orders(status)
+error not_null stg_customers(country_code)
+error not_null stg_customers(customer_id)
+error not_null stg_customers(email)
+error not_null stg_lake_orders(dt)
+error not_null stg_lake_orders(order_id)
+error not_null stg_lake_orders(total_amount)
+error not_null stg_order_items(line_total)
+error not_null stg_order_items(order_id)
+error not_null stg_order_items(order_item_id)
+error not_null stg_order_items(product_id)
+error not_null stg_order_items(quantity)
+error not_null stg_orders(customer_id)
+error not_null stg_orders(order_date)
+error not_null stg_orders(order_id)
+error not_null stg_orders(status)
+error not_null stg_orders(total_amount)
+error not_null stg_products(category)
+error not_null stg_products(current_price)
+error not_null stg_products(product_id)
+error not_null stg_products(sku)
+error unique customer_order_summary(customer_id)
+error unique recon_orders_by_source(order_date)
+error unique stg_customers(customer_id)
+error unique stg_customers(email)
+error unique stg_lake_orders(order_id)
+error unique stg_order_items(order_item_id)
+error unique stg_orders(order_id)
+error unique stg_products(product_id)
+error unique stg_products(sku)
+warn mart_matches_job
+warn no_diverged_days
+warn relationships stg_order_items(order_id)
+warn relationships stg_order_items(product_id)
+warn relationships stg_orders(customer_id)
+""".split("\n")[1:-1]
+
+
+def test_every_declared_check_has_its_line(spark):
+    catalog.load()
+    got = catalog.QUERIES["declared_checks"](spark, "/root/testdata/sf0.001").collect()
+    assert sorted(f"{r.severity} {r.check}" for r in got) == DECLARED and len(DECLARED) == 50
+
+
+def test_rules_are_counted_while_a_model_is_written(spark, tmp_path):
+    df = spark.createDataFrame([(1, 7, "paid", 1, "d"), (None, 7, "lost", None, "d"), (None, 7, None, 3, "d")],
+                               "order_id int, customer_id int, status string, total_amount int, order_date string")
+    model, lines = checks.write_model(df, "stg_orders", str(tmp_path))
+    assert model.count() == 3 and {n: v for n, _, v in lines} == {
+        "not_null stg_orders(order_id)": 2, "not_null stg_orders(customer_id)": 0, "not_null stg_orders(status)": 1,
+        "not_null stg_orders(total_amount)": 1, "not_null stg_orders(order_date)": 0, "accepted_values stg_orders(status)": 1}
+
 
 
 def test_parity_and_gap(spark):

@@ -123,10 +123,10 @@ def _(x: Inputs):
 
 @query("dead_letters_streamed", DEAD_SQL)
 def _(x: Inputs):
-    src, dst, dead = x.scratch("messages"), x.scratch("log"), x.scratch("dead")
+    src, dst = x.scratch("messages"), x.scratch("log")
     _damaged(x).write.text(src)
-    ingest.start_ingest_with_dead_letters(x.spark, src, dst, dead, "orders", x.scratch("ckpt")).awaitTermination()
-    return _good_and_dead(x.spark.read.parquet(dst), x.spark.read.parquet(dead))
+    ingest.start_ingest_with_dead_letters(x.spark, src, dst, "orders", x.scratch("ckpt")).awaitTermination()
+    return _good_and_dead(ingest.read_log(x.spark, dst), ingest.read_dead_letters(x.spark, dst))
 
 
 def _out_of_order(x: Inputs, entity: str) -> str:

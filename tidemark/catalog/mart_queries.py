@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.catalog import query
-from tidemark.catalog.base import Inputs, sql
+from tidemark.catalog.base import AS_OF, Inputs, sql
 from tidemark.functions import scalar as S
 from tidemark.functions.metric_layer import DATASETS, aggregate_query, raw_query
 from tidemark.operators import aggregates as A
@@ -67,6 +67,21 @@ def _(x: Inputs):
     return x.recon
 
 
+@query("customer_order_summary_stamped", sql(
+    "SELECT *, TIMESTAMP '1999-01-02 03:04:05' AS computed_at FROM customer_summary", "customer_summary"))
+def _(x: Inputs):
+    return marts.customer_summary(
+        x.customers("customer_id", "country_code", "signup_date"),
+        x.orders("order_id", "customer_id", "status", "total_amount", "created_at"),
+        x.items("order_item_id", "order_id", "quantity"), AS_OF, computed_at="1999-01-02 03:04:05")
+
+
+@query("recon_orders_stamped", sql("SELECT *, TIMESTAMP '1999-01-02 03:04:05' AS checked_at FROM recon", "recon"))
+def _(x: Inputs):
+    return marts.reconcile(x.control(), x.orders("order_id", "total_amount", "created_at"), x.lake_staged(),
+                       checked_at="1999-01-02 03:04:05")
+
+
 # joins
 
 @query("items_with_orders", sql("""

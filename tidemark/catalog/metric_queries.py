@@ -73,7 +73,8 @@ def _instant_sql(view_sql: str, keys: str, step: int, lookback: int) -> str:
     row_number() OVER (PARTITION BY {keys}, epoch_us(ts) // {us} ORDER BY ts DESC, value DESC) AS rn
   FROM {view_sql}) q WHERE rn = 1),
 seen AS (SELECT {keys}, ts, value,
-  unnest(range(no + 1, greatest((epoch_us(ts) + {lookback * 1_000_000}) // {us}, no + 1) + 1)) AS no FROM newest),
+  unnest(list_filter(range(no, no + {lookback // step + 3}), lambda t: t * {us} > epoch_us(ts)
+    AND t * {us} - epoch_us(ts) <= {lookback * 1_000_000})) AS no FROM newest),
 inst AS (SELECT {keys}, no, value FROM (
   SELECT *, row_number() OVER (PARTITION BY {keys}, no ORDER BY ts DESC, value DESC) AS rn FROM seen) q WHERE rn = 1)"""
 
@@ -93,6 +94,14 @@ def _(x: Inputs):
     return TS.instant(_labelled(x), KEYS, 5 * MINUTE, 30 * MINUTE)
 
 
+@query("instant_values_of_a_short_lookback", _samples_with(
+    _instant_sql("samples", "metric, instance", 10 * MINUTE, 30)
+    + f"\nSELECT metric, instance, make_timestamp(no * {2 * US5}) AS t, value FROM inst"))
+def _(x: Inputs):
+    """Half a minute of lookback at ten-minute steps: most samples are too old when they are looked at."""
+    return TS.instant(_labelled(x), KEYS, 10 * MINUTE, 30)
+
+
 @query("gauge_threshold", _samples_with(
     INST + f"\nSELECT metric, instance, make_timestamp(no * {US5}) AS t, value FROM inst WHERE value > 90"))
 def _(x: Inputs):

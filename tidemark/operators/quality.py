@@ -18,6 +18,11 @@ def _line(df: DataFrame, check: str, severity: str, violations: Column) -> DataF
     )
 
 
+def line(rows: DataFrame, check: str, severity: str = ERROR) -> DataFrame:
+    """A check whose violations are the rows of a query."""
+    return _line(rows, check, severity, F.count(F.lit(1)))
+
+
 def duplicates(df: DataFrame, cols: list[str]) -> DataFrame:
     """Keys that occur more than once; a null key is no key."""
     present = reduce(lambda a, c: a & F.col(c).isNotNull(), cols, F.lit(True))

@@ -116,8 +116,9 @@ def instant(samples: DataFrame, keys: list[str], step: int = STEP, lookback: int
     newest = samples.groupBy(*keys, no.alias("_no")).agg(F.max(F.struct("ts", "value")).alias("_s"))
     # A sample at ts is visible at t while ts < t <= ts + lookback.
     last = _div(S.epoch_micros(F.col("_s.ts")) + lookback * MICROS, step * MICROS)
-    upto = F.greatest(last, F.col("_no") + 1)
-    spread = newest.select(*keys, "_s", F.explode(F.sequence(F.col("_no") + 1, upto)).alias("_t"))
+    first = F.col("_no") + 1
+    # With a lookback below the step, a sample may be too old at the first time after it.
+    spread = newest.select(*keys, "_s", F.explode(F.when(last >= first, F.sequence(first, last))).alias("_t"))
     return spread.groupBy(*keys, "_t").agg(F.max("_s").alias("_s")).select(
         *keys, _at(F.col("_t"), step).alias("t"), F.col("_s.value").alias("value")
     )

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalar as S
-from tidemark.operators.quality import landed
-from tidemark.plans import marts, staging
+from tidemark.operators.quality import landed, summary
+from tidemark.plans import checks, marts, staging
 from tidemark.session import shared_dir
 from tidemark.sources import lake, manifest
 from tidemark.sources.lake import VerificationError, WriteReport
@@ -145,6 +145,13 @@ def run_day(
             raise VerificationError(f"mart rows of {day} are missing")
 
     done.append(("mart", upsert_mart_day(sales, curated, day, [arrived])))
-    return spark.createDataFrame(
-        [(step, r.read_back, r.status) for step, r in done], "step string, rows bigint, status string"
-    )
+    # Then the declared checks of what was published; a failed one fails the run, as a wrong count does.
+    checked = checks.report({
+        "stg_lake_orders": lake.read_lake(spark, staged_root, "orders", [day]),
+        "daily_sales_by_category": read_mart(spark, curated, [day])})
+    outcome = summary(checked).first()
+    if outcome.failed:
+        raise VerificationError(f"checks of {day}: {outcome.failed} failed")
+    lines = [(step, r.read_back, r.status) for step, r in done]
+    lines.append(("checks", outcome.passed + outcome.warned, outcome.outcome))
+    return spark.createDataFrame(lines, "step string, rows bigint, status string")

@@ -12,12 +12,17 @@ from tidemark.plans import staging
 TOLERANCE = 5
 
 
+def stamped(mart: DataFrame, column: str, at: str) -> DataFrame:
+    """A mart with the time of the run that made it, which the caller gives so that results repeat."""
+    return mart.withColumn(column, F.lit(at).cast("timestamp_ntz"))
+
+
 def daily_sales(items: DataFrame, orders: DataFrame, products: DataFrame, day: str | None = None) -> DataFrame:
     """Orders, items and revenue per day and category, cancelled orders left out.
 
     Inputs are staging models. Lines meet their order first, on the key both
-    are spread by; the distinct count then works within that spread, and only
-    one partial row per (day, category) and task is shuffled at the end.
+    are spread by. The distinct count adds one step: partial sums per (day,
+    category, order) and task are shuffled, then those per (day, category).
     ``day`` limits the result to one day through the order's timestamp.
     """
     sold = orders.filter(F.col("status") != "cancelled")
@@ -52,7 +57,9 @@ def daily_sales_of_day(logs: dict[str, DataFrame], day: str) -> DataFrame:
     return daily_sales(items, orders, products)
 
 
-def customer_summary(customers: DataFrame, orders: DataFrame, items: DataFrame, as_of: str) -> DataFrame:
+def customer_summary(
+    customers: DataFrame, orders: DataFrame, items: DataFrame, as_of: str, computed_at: str | None = None
+) -> DataFrame:
     """One row per customer; customers without orders have zero counts and null dates.
 
     Lines are added up per order and orders per customer before the next join,
@@ -80,7 +87,7 @@ def customer_summary(customers: DataFrame, orders: DataFrame, items: DataFrame,
     def zero(name: str, dtype: str):
         return F.coalesce(F.col(name).cast(dtype), F.lit(0).cast(dtype)).alias(name)
 
-    return (
+    summary = (
         customers.select("customer_id", "country_code", "signup_date")
         .join(per_customer, "customer_id", "left")
         .select(
@@ -95,6 +102,7 @@ def customer_summary(customers: DataFrame, orders: DataFrame, items: DataFrame,
             .alias("days_since_last_order"),
         )
     )
+    return stamped(summary, "computed_at", computed_at) if computed_at else summary
 
 
 def day_totals(orders: DataFrame, day, prefix: str) -> DataFrame:
@@ -106,7 +114,7 @@ def day_totals(orders: DataFrame, day, prefix: str) -> DataFrame:
 
 
 def reconcile(
-    control: DataFrame, warehouse: DataFrame, lake: DataFrame, tolerance: int = TOLERANCE
+    control: DataFrame, warehouse: DataFrame, lake: DataFrame, tolerance: int = TOLERANCE, checked_at: str | None = None
 ) -> DataFrame:
     """Orders and revenue per day over three routes, their gap, and a verdict.
 
@@ -139,10 +147,11 @@ def reconcile(
         .when(F.abs(gap) <= tolerance, "within tolerance")
         .otherwise("DIVERGED")
     )
-    return by_day.select(
+    report = by_day.select(
         "order_date", "pg_orders", "cdc_orders", "s3_orders",
         gap.alias("cdc_minus_pg"),
         "pg_revenue", "cdc_revenue", "s3_revenue",
         (F.col("cdc_revenue") - F.col("pg_revenue")).cast("decimal(18,2)").alias("revenue_gap"),
         verdict.alias("verdict"),
     )
+    return stamped(report, "checked_at", checked_at) if checked_at else report

@@ -49,8 +49,8 @@ def parse_strict(raw: DataFrame, entity: str) -> DataFrame:
     return raw.select(parsed.alias("m")).select("m.*")
 
 
-def split_dead_letters(raw: DataFrame, entity: str) -> tuple[DataFrame, DataFrame]:
-    """(typed log rows, messages that could not be parsed or typed)."""
+def flag_dead_letters(raw: DataFrame, entity: str) -> DataFrame:
+    """Typed log rows with ``dead`` (1 for a message that could not be parsed or typed) and, of those, the message."""
     schema = wire_schema(entity).add("_corrupt", "string")
     parsed = raw.select(
         "value",
@@ -61,9 +61,19 @@ def split_dead_letters(raw: DataFrame, entity: str) -> tuple[DataFrame, DataFram
     broken = F.col("_corrupt").isNotNull()
     for name in _must_have(entity):
         broken = broken | F.col(name).isNull()
-    good = typed.filter(~broken).drop("value", "_corrupt")
-    bad = typed.filter(broken).select("value")
-    return good, bad
+    dead = S.flag(broken)
+    return typed.withColumn("dead", dead).withColumn("message", F.when(F.col("dead") == 1, F.col("value"))).drop("value", "_corrupt")
+
+
+def good_and_dead(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(typed log rows, ``value`` of damaged messages) of flagged rows."""
+    good = flagged.filter("dead = 0").drop("dead", "message")
+    return good, flagged.filter("dead = 1").select(F.col("message").alias("value"))
+
+
+def split_dead_letters(raw: DataFrame, entity: str) -> tuple[DataFrame, DataFrame]:
+    """(typed log rows, messages that could not be parsed or typed)."""
+    return good_and_dead(flag_dead_letters(raw, entity))
 
 
 def _must_have(entity: str) -> list[str]:

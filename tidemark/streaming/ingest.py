@@ -38,26 +38,32 @@ def start_ingest(
 
 
 def read_log(spark: SparkSession, dst: str) -> DataFrame:
-    """The typed log of all runs; rows of a replay repeat earlier ones."""
-    return spark.read.parquet(dst).drop("run", "batch")
+    """The typed log of all runs without damaged messages; rows of a replay repeat earlier ones."""
+    log = spark.read.parquet(dst)
+    return (changes.good_and_dead(log)[0] if "dead" in log.columns else log).drop("run", "batch")
+
+
+def read_dead_letters(spark: SparkSession, dst: str) -> DataFrame:
+    """Messages of all runs that could not be parsed or typed."""
+    return changes.good_and_dead(spark.read.parquet(dst))[1]
 
 
 def start_ingest_with_dead_letters(
-    spark: SparkSession, src: str, dst: str, dead: str, entity: str, checkpoint: str,
-    available_now: bool = True,
+    spark: SparkSession, src: str, dst: str, entity: str, checkpoint: str, available_now: bool = True,
+    fmt: str = "text", options: dict[str, str] | None = None,
 ) -> StreamingQuery:
-    """As ``start_ingest``, but damaged messages go to ``dead`` and the stream goes on.
+    """As ``start_ingest``, but damaged messages are set aside and the stream goes on.
 
-    Each batch writes into its own folder, so a retried batch replaces itself.
+    A batch is parsed once and written once, damaged messages in a partition
+    of their own; nothing is cached. ``options`` limit the rate of the source,
+    such as ``maxFilesPerTrigger`` or ``maxOffsetsPerTrigger``. Each batch
+    writes into its own folder, so a retried batch replaces itself.
     """
-    raw = changes.read_messages(spark, src, streaming=True)
+    raw = changes.read_messages(spark, src, streaming=True, fmt=fmt, options=options)
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        good, bad = changes.split_dead_letters(batch, entity)
-        good.write.mode("overwrite").parquet(f"{run_folder(dst, checkpoint)}/batch={batch_id}")
-        bad.write.mode("overwrite").parquet(f"{run_folder(dead, checkpoint)}/batch={batch_id}")
-        batch.unpersist()
+        flagged = changes.flag_dead_letters(batch, entity)
+        flagged.write.mode("overwrite").partitionBy("dead").parquet(f"{run_folder(dst, checkpoint)}/batch={batch_id}")
 
     return _start(raw.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint), available_now)
 
@@ -86,15 +92,17 @@ def current_state_stream(typed: DataFrame, keys: list[str], version: str = "sour
 
 def start_upsert(
     spark: SparkSession, src: str, state: str, entity: str, checkpoint: str, available_now: bool = True,
+    fmt: str = "text", options: dict[str, str] | None = None,
 ) -> StreamingQuery:
-    """Keep the current state of an entity on disk.
+    """Keep the current state of an entity on disk; ``levels`` does the same with merges as it goes.
 
     Every micro-batch appends the keys it moved, one row each, in a folder
     named by the batch id, so a retried batch overwrites its own output.
     ``read_state`` collapses the batches. ``compact_state`` folds them into a
     new folder, to be run between queries when there are many.
     """
-    typed = changes.type_changes(changes.read_changes(spark, src, entity, streaming=True), entity)
+    typed = changes.type_changes(
+        changes.read_changes(spark, src, entity, streaming=True, fmt=fmt, options=options), entity)
 
     def save(batch: DataFrame, batch_id: int) -> None:
         newest = latest_state(batch, KEYS[entity], deleted=None)
