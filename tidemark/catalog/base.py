@@ -206,7 +206,7 @@ LEFT JOIN (SELECT order_date, count(*) AS n, CAST(sum(total_amount) AS DECIMAL(1
            FROM lake_staged GROUP BY 1) l ON l.order_date = d.order_date"""),
     "samples": ((), """
 SELECT ts, concat('events_', event_type) AS metric, CAST(user_id % 4 AS VARCHAR) AS instance,
-  CASE WHEN user_id % 2 = 0 THEN 'even' ELSE 'odd' END AS job, CAST(event_id % 100 AS DOUBLE) AS value
+  CASE WHEN user_id % 2 = 0 THEN 'even' ELSE 'odd' END AS job, CAST(floor(value) AS DOUBLE) AS value
 FROM events"""),
     "names": ((), """
 SELECT event_id, CASE event_id % 10

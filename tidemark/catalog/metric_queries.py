@@ -363,11 +363,14 @@ def _spec_ctes(specs: list[Spec]) -> str:
         f"({_text(p.metric)}, {_text(p.series)}, '{p.mode}', {float(p.low)!r}::DOUBLE, {float(p.high)!r}::DOUBLE, {p.period})"
         for p in specs)
     return f"""spec(metric, series, mode, low, high, period) AS (VALUES {rows}),
-e AS (SELECT make_timestamp((epoch_us(ts) - {X.EPOCH_MICROS}) // {X.PACK} + {X.EPOCH_MICROS}) AS ts, event_id FROM events),
+e AS (SELECT make_timestamp((epoch_us(ts) - {X.EPOCH_MICROS}) // {X.PACK} + {X.EPOCH_MICROS}) AS ts, event_id, value,
+    sum(CAST(round(value * 100) AS BIGINT)) OVER w AS cents, count(*) OVER w AS n
+  FROM events WINDOW w AS (PARTITION BY event_id // {X.READING})),
 s AS (SELECT ts, metric, series, CASE mode
-    WHEN 'reset' THEN CAST(event_id % 100 AS DOUBLE) WHEN 'steps' THEN CAST(event_id // period AS DOUBLE)
-    WHEN 'seen' THEN CAST(epoch_us(ts) // 1000000 AS DOUBLE) - CASE WHEN event_id // period % 3 = 1 THEN high ELSE low END
-    ELSE CASE WHEN event_id // period % 3 = 1 THEN high ELSE low END END AS value
+    WHEN 'reset' THEN CAST(floor(e.value) AS DOUBLE) WHEN 'steps' THEN CAST(event_id // period AS DOUBLE)
+    WHEN 'seen' THEN CAST(epoch_us(ts) // 1000000 AS DOUBLE)
+      - CASE WHEN cents > ({X.LEAST_LOAD} + period % {X.LOADS}) * 100 * n THEN high ELSE low END
+    ELSE CASE WHEN cents > ({X.LEAST_LOAD} + period % {X.LOADS}) * 100 * n THEN high ELSE low END END AS value
   FROM e, spec)"""
 
 

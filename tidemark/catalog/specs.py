@@ -12,8 +12,8 @@ from tidemark.plans.panels import PANELS
 
 @dataclass(frozen=True)
 class Spec:
-    """A series: ``level`` alternates low/high in blocks of ``period`` events, ``reset`` counts to
-    a hundred, ``steps`` grows once per block, ``seen`` is a timestamp ``level`` seconds old."""
+    """A series: ``level`` is high while the measured load is above a limit that ``period`` sets, ``reset`` is the
+    measured value itself, ``steps`` grows once per ``period`` events, ``seen`` is a timestamp ``level`` seconds old."""
 
     metric: str
     labels: tuple[tuple[str, str], ...]

@@ -7,7 +7,7 @@ no shuffle, so it scales with the scan. The same definitions as SQL text are in
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalar as S
@@ -201,7 +201,7 @@ def lake_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counter samples, four instances per event type, that reset every hundred events."""
+    """Whole units of the measured event values, four instances per event type; read as a counter, each fall is a reset."""
     return table(spark, sf_dir, "events").select(
         "ts",
         F.concat(F.lit("events_"), F.col("event_type")).alias("metric"),
@@ -209,7 +209,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("instance"), (F.col("user_id") % 4).cast("string"),
             F.lit("job"), F.when(F.col("user_id") % 2 == 0, "even").otherwise("odd"),
         ).alias("labels"),
-        (F.col("event_id") % 100).cast("double").alias("value"),
+        F.floor("value").cast("double").alias("value"),
     )
 
 
@@ -245,8 +245,17 @@ def packed_ts() -> Column:
     return S.from_micros(F.call_function("div", micros, F.lit(PACK).cast("bigint")) + F.lit(EPOCH_MICROS))
 
 
+# So many events in a row are one reading of the measured load, and a series is at its high level while
+# the mean event value of the reading is above its own limit, 46 to 54.
+READING = 200
+LEAST_LOAD, LOADS = 46, 9
+
+
 def rule_samples(spark: SparkSession, sf_dir: str, specs: list) -> DataFrame:
-    """One sample per event and series specification (see ``tidemark.catalog.specs``)."""
+    """One sample per event and series specification (see ``tidemark.catalog.specs``).
+
+    Levels and counters follow ``events.value``: what is measured decides which rules fire.
+    """
     shapes = F.array(*[
         F.struct(
             F.lit(s.metric).alias("metric"),
@@ -259,13 +268,19 @@ def rule_samples(spark: SparkSession, sf_dir: str, specs: list) -> DataFrame:
     ])
     # Spread the events before they multiply, so that no task expands a large split alone.
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = table(spark, sf_dir, "events").select("event_id", "ts").repartition(tasks, "event_id").select(
-        packed_ts().alias("ts"), "event_id", F.inline(shapes)
+    reading = Window.partitionBy(F.call_function("div", F.col("event_id"), F.lit(READING).cast("bigint")))
+    # Whole cents, so that a sum does not depend on its order.
+    cents = F.round(F.col("value") * 100).cast("bigint")
+    events = table(spark, sf_dir, "events").select(
+        "event_id", "ts", "value", F.sum(cents).over(reading).alias("cents"), F.count(F.lit(1)).over(reading).alias("n"))
+    rows = events.repartition(tasks, "event_id").select(
+        packed_ts().alias("ts"), "event_id", F.floor("value").cast("double").alias("measured"), "cents", "n", F.inline(shapes)
     )
     block = F.call_function("div", F.col("event_id"), F.col("period").cast("bigint"))
-    level = F.when(block % 3 == 1, F.col("high")).otherwise(F.col("low"))
+    limit = F.lit(LEAST_LOAD) + F.col("period") % LOADS
+    level = F.when(F.col("cents") > limit * 100 * F.col("n"), F.col("high")).otherwise(F.col("low"))
     value = (
-        F.when(F.col("mode") == "reset", (F.col("event_id") % 100).cast("double"))
+        F.when(F.col("mode") == "reset", F.col("measured"))
         .when(F.col("mode") == "steps", block.cast("double"))
         .when(F.col("mode") == "seen", F.unix_timestamp("ts").cast("double") - level)
         .otherwise(level)
