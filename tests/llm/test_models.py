@@ -59,6 +59,17 @@ def test_lm_counts_and_base_scores(spark):
     assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen) * 0.97
 
 
+def test_lm_shares_no_class_of_the_package(spark, monkeypatch):
+    import pickle
+
+    from pyspark import SparkContext
+
+    seen, real = [], SparkContext.broadcast
+    monkeypatch.setattr(SparkContext, "broadcast", lambda self, value: seen.append(pickle.dumps(value)) or real(self, value))
+    lm.score_documents(table(spark, "/root/testdata/sf0.001", "documents").limit(20))
+    assert seen and not any(b"tidemark" in s for s in seen)
+
+
 def test_lm_is_normalised():
     rng = np.random.default_rng(1)
     share = rng.random(lm.UNITS)
@@ -116,7 +127,7 @@ def test_html_reads_no_labels_from_pages_and_keeps_what_follows_empty_elements()
     found = html_text.blocks(html_text.varied(page, np.random.default_rng(1)))
     assert {b.label for b in found if "some words of the text" == b.text} == {1}
     assert html_text.fit([page], epochs=1).decode(html_text.features(html_text.blocks(page)))
-    assert html_text.blocks('<div data-id="nav" title="class=menu">x</div>')[0].hints == []
+    assert html_text.blocks('<div data-id="nav" title="class=menu">x</div>')[0].hints == frozenset()
 
     def texts(page):
         return [b.text for b in html_text.blocks(page)]
@@ -127,6 +138,26 @@ def test_html_reads_no_labels_from_pages_and_keeps_what_follows_empty_elements()
                  "<object>instead</object><noscript>plain</noscript></article>") == ["where x=2 holds", "More", "instead", "plain"]
 
 
+def test_html_time_is_linear_in_broken_pages():
+    import time
+
+    n = 1 << 20
+    pages = ["<a " * (n // 3), '<p x="' * (n // 6), "<a b='" * (n // 6) + '"', "<!" * (n // 2), "<svg>" * (n // 5), "</svg " * (n // 6),
+             "<div>" * 20_000 + "<div>text" * 20_000, "</nothing>" * (n // 10), "<svg></svg " * (n // 11), "<" * n, "<a" + " " * n, '"' * n + "<p>"]
+    for page in pages:
+        start = time.perf_counter()
+        found = html_text.blocks(page)
+        assert time.perf_counter() - start < 10, (page[:20], len(found))
+    assert len(html_text.blocks("<div>" * 20_000 + "<div>text" * 20_000)) == 20_000
+    assert [b.text for b in html_text.blocks("<p>one<div <p>two<p title='a<b>c'>three")] == ["one", "two", "three"]
+
+
+def test_html_labels_stop_at_elements_beside_the_text():
+    page = "<header><article>a<aside>b<article>c</article></aside><main>d</main></article></header><p>e</p>"
+    found = html_text.blocks(page)
+    assert [b.text for b in found] == list("abcde") and html_text._labels(found).tolist() == [1, 0, 0, 1, 0]
+
+
 def test_html_on_odd_rows(spark):
     rows = [(1, "u", None), (2, None, ""), (None, None, "<p>a &amp; b<p>c"), (3, "u", "<article><p>x</article>"), (3, "u", "<article><p>x</article>"),
             (4, "u", "no markup"), (5, "u", "<script>if (a < b) {"), (6, "u", "<" * 500), (7, "u", "<article>" + "<div>" * 3000 + "deep")]

@@ -18,6 +18,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -38,29 +39,47 @@ INLINE = frozenset("a abbr b bdi bdo cite code data del dfn em font i img ins kb
                "math maction menclose mfrac mi mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup "
                "mtable mtd mtext mtr munder munderover semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+ROOTS = ("article", "main")
 OUTSIDE = frozenset("aside form nav header footer".split())
 # What the names of classes and ids tell, by their beginnings.
 HINTS = ("nav", "menu", "head", "foot", "side", "ad", "advert", "banner", "comment", "reply", "cookie", "notice", "consent",
          "popup", "share", "social", "related", "promo", "sponsor", "form", "login", "newsletter", "subscribe", "breadcrumb",
          "tag", "widget", "legal", "copyright", "pager", "article", "content", "main", "post", "entry", "story", "body", "text")
 
-_MARK = re.compile(r"<!--.*?(?:-->|\Z)|<(?:[!?])[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S)
+# A tag ends at its >, at the next < outside quotes, or with the page, so that every character is looked at a few times only.
+_MARK = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|"
+                   r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'<]+|[\"'])*+)(?:>|(?=<)|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s\"'=/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _TELLING = frozenset("class id role itemprop hidden".split())
 _EMPTY = re.compile(r"(?:^|[\s\"'])/\s*\Z")  # a stroke that ends the tag and no attribute's value
 _NAMES = re.compile(r"[a-z]+")
 
 
+class Element:
+    """An open element and what the elements around it tell; sets are shared with its parent where nothing is new."""
+
+    __slots__ = ("name", "tags", "hints", "label", "clean")
+
+    def __init__(self, name: str, hints: list[str], label: int | None, parent: Element | None):
+        tags, old, clean = (parent.tags, parent.hints, parent.clean) if parent else (frozenset(), frozenset(), frozenset())
+        self.name = name
+        # Roots that stand around a text without an element between that is never main text.
+        self.clean = (frozenset() if name in OUTSIDE else clean) | ({name} if name in ROOTS and name not in tags else set())
+        self.tags = tags if name in tags else tags | {name}
+        self.hints = old if old.issuperset(hints) else old | set(hints)
+        self.label = label if label is not None or not parent else parent.label
+
+
 class Block:
     """A text with the elements it stands in and the characters of it that stand in links."""
 
-    __slots__ = ("text", "tags", "hints", "linked", "label")
+    __slots__ = ("text", "linked", "own", "tags", "hints", "label", "clean")
 
-    def __init__(self, text: str, stack: list, linked: int):
+    def __init__(self, text: str, top: Element | None, linked: int):
         self.text, self.linked = text, linked
-        self.tags = [e[0] for e in stack]
-        self.hints = [h for e in stack for h in e[1]]
-        self.label = next((e[2] for e in reversed(stack) if e[2] is not None), None)
+        self.own = top.name if top else ""
+        self.tags, self.hints, self.clean = (top.tags, top.hints, top.clean) if top else (frozenset(),) * 3
+        self.label = top.label if top else None
 
 
 class Varied(str):
@@ -76,7 +95,9 @@ def blocks(page: str) -> list[Block]:
     """
     mark_name = getattr(page, "mark", None)
     found: list[Block] = []
-    stack: list[tuple] = []  # (tag, hints, label)
+    stack: list[Element] = []
+    still_open: Counter[str] = Counter()
+    never_closed: set[str] = set()
     pieces: list[tuple[str, bool]] = []
     links, at, size = 0, 0, len(page)
 
@@ -84,7 +105,7 @@ def blocks(page: str) -> list[Block]:
         if pieces:
             text = " ".join("".join(p for p, _ in pieces).split())
             if text:
-                found.append(Block(text, stack, sum(len(p.strip()) for p, linked in pieces if linked)))
+                found.append(Block(text, stack[-1] if stack else None, sum(len(p.strip()) for p, linked in pieces if linked)))
             pieces.clear()
 
     while at < size:
@@ -108,22 +129,25 @@ def blocks(page: str) -> list[Block]:
         flush()
         links = 0
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
+            while still_open[name]:
+                gone = stack.pop().name
+                still_open[gone] -= 1
+                if gone == name:
                     break
             continue
         if name in SILENT and _EMPTY.search(mark.group(3)):
             continue
         if name in SILENT:
-            close = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
+            close = None if name in never_closed else re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+            if not close:
+                never_closed.add(name)
             at = close.end() if close else (size if name in ("script", "style") else at)
             continue
         if name in VOID or mark.group(3).rstrip().endswith("/"):
             continue
         # A paragraph or list item that is still open ends where its like or a new block begins.
-        while stack and stack[-1][0] in ("p", "li", "dt", "dd", "option") and (stack[-1][0] == "p" or stack[-1][0] == name):
-            stack.pop()
+        while stack and stack[-1].name in ("p", "li", "dt", "dd", "option") and stack[-1].name in ("p", name):
+            still_open[stack.pop().name] -= 1
         hints, label = [], None
         for key, value in _ATTRIBUTE.findall(mark.group(3)):
             key, value = key.lower(), value.strip("\"'").lower()
@@ -132,7 +156,8 @@ def blocks(page: str) -> list[Block]:
             elif key in _TELLING:
                 words = _NAMES.findall(value)
                 hints += [h for w in words for h in HINTS if w == h or (len(h) > 3 and w.startswith(h))]
-        stack.append((name, hints, label))
+        stack.append(Element(name, hints, label, stack[-1] if stack else None))
+        still_open[name] += 1
     flush()
     return found
 
@@ -144,12 +169,12 @@ def features(page: list[Block]) -> list[list[int]]:
         words = b.text.split()
         size = len(b.text)
         last = b.text[-1]
-        names = ["bias", f"own:{b.tags[-1] if b.tags else ''}", f"words:{min(len(words), 3) if len(words) < 4 else 3 + len(words).bit_length()}",
+        names = ["bias", f"own:{b.own}", f"words:{min(len(words), 3) if len(words) < 4 else 3 + len(words).bit_length()}",
                  f"links:{round(4 * min(b.linked, size) / size)}", f"end:{last if not last.isalnum() else 'a'}",
                  f"caps:{b.text.isupper()}", f"mark:{'©' in b.text or '|' in b.text}", f"first:{i == 0}", f"last:{i == n - 1}",
                  f"digits:{sum(c.isdigit() for c in b.text) * 5 // size}"]
-        names += [f"in:{t}" for t in set(b.tags)]
-        names += [f"is:{h}" for h in set(b.hints)]
+        names += [f"in:{t}" for t in b.tags]
+        names += [f"is:{h}" for h in b.hints]
         out.append([zlib.crc32(x.encode()) & ((1 << BITS) - 1) for x in names])
     return out
 
@@ -157,9 +182,9 @@ def features(page: list[Block]) -> list[list[int]]:
 def _labels(page: list[Block]) -> np.ndarray | None:
     if any(b.label is not None for b in page):
         return np.array([b.label or 0 for b in page])
-    for root in ("article", "main"):
+    for root in ROOTS:
         if any(root in b.tags for b in page):
-            return np.array([int(root in b.tags and not OUTSIDE.intersection(b.tags[b.tags.index(root):])) for b in page])
+            return np.array([int(root in b.clean) for b in page])
     return None
 
 

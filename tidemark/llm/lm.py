@@ -16,7 +16,7 @@ tasks' parameters are averaged by their numbers of tokens.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -304,9 +304,10 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     vocab = vocabulary(counts)
     model = train(training, vocab)
     tables = model.tables()
-    shared = docs.sparkSession.sparkContext.broadcast((vocab, tables))
+    # Plain arrays: a broadcast names the classes it holds, and executors may not have this package.
+    shared = docs.sparkSession.sparkContext.broadcast(([getattr(vocab, f.name) for f in fields(Vocabulary)], tables))
     scored = staged(rows.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "held_out", "text")
-                    .mapInArrow(lambda b: _scores(b, *shared.value), SCORES), "lm-scores")
+                    .mapInArrow(lambda b: _scores(b, Vocabulary(*shared.value[0]), shared.value[1]), SCORES), "lm-scores")
     rare = (scored.select("row", F.inline("rare")).join(counts.select("hash", F.col("n").alias("c")), "hash")
             .groupBy("row").agg(F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("log"), F.sum("n").alias("known")))
     out = scored.drop("rare").join(rare, "row", "left")
