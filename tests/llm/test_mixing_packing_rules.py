@@ -134,3 +134,15 @@ def test_rules_on_odd_rows(messy, nothing):
     assert got[5].n_words == got[4].n_words == got[7].n_words == 0 and got[5].base_failed and not got[5].kept
     assert got[1].kept and got[9].word_chars == 5 and got[6].base_failed
     assert set(messy.columns) - {"n_words", "kept"} <= set(out.columns)
+
+
+def test_stop_words_must_be_a_share_of_the_text(spark):
+    other = [f"w{i}x" for i in range(100)]
+    texts = {
+        "one in many": " ".join(f"u{i}v" for i in range(100_000)) + " la",
+        "enough": " ".join(other[:98] + ["(The)", "OF,"]),
+        "none": " ".join(other),
+        "short": " ".join(other[:50]),
+    }
+    got = {r.doc_id: r.kept for r in rules.apply_rules(spark.createDataFrame(list(texts.items()), "doc_id string, text string")).collect()}
+    assert got == {"one in many": False, "enough": True, "none": False, "short": True}

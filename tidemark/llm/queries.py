@@ -74,6 +74,7 @@ def _pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _STOPS = ", ".join(f"'{w}'" for w in dict.fromkeys(rules.STOP_WORDS))
+_MARKS = rules.MARKS.replace("'", "''")
 RULES_SQL = rf"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -104,7 +105,8 @@ judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND word_chars >= 2 * n_words AND word_chars <= 12 * n_words
     AND 1.0 * n_symbols / n_words <= 0.1::DOUBLE AND 1.0 * len(regexp_extract_all(t, '!')) / n_words <= 0.3::DOUBLE
-    AND (n_words <= 50 OR len(list_intersect(w, [{_STOPS}])) > 0)
+    AND (n_words <= {rules.SHORT} OR len(list_filter(w, lambda x: lower(trim(x, '{_MARKS}')) IN ({_STOPS}))) * 1.0::DOUBLE
+      / n_words >= 0.01::DOUBLE)
     AND (n_lines = 0 OR CAST(n_dup_lines AS DOUBLE) / n_lines <= 0.3::DOUBLE) AS kept
 FROM judged"""
 

@@ -27,6 +27,12 @@ STOP_WORDS = tuple(
     "de la le et les des en un du une que est pour qui dans "
     "el los y se del las por con para una no su al lo".split())
 
+# Marks that a word may begin or end with (fixed values).
+MARKS = ".,;:!?\"'()[]"
+
+# Texts up to so many words are too short for a share of stop words to tell anything.
+SHORT = 50
+
 # Characters that mark markup and tables rather than prose.
 SYMBOLS = r"[#*$%&|<>]"
 
@@ -39,7 +45,7 @@ RULES = (
     Rule("word length", "mean_word_chars", low=2, high=12),
     Rule("symbols", "symbols_per_word", high=0.1),
     Rule("shouting", "exclamations_per_word", high=0.3),
-    Rule("stop words", "words_without_stop_word", high=50),
+    Rule("stop words", "stop_word_share", low=0.01),
     Rule("repeated lines", "dup_line_share", high=0.3),
 )
 
@@ -54,7 +60,7 @@ def measures(text: Column) -> dict[str, Column]:
         "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)).cast("long"),
         "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
         "n_repeat_words": F.col("__repeat").cast("long"),
-        "stop_words": F.size(F.array_intersect(words, F.array(*[F.lit(w) for w in STOP_WORDS]))),
+        "stop_words": F.size(F.filter(words, lambda w: F.lower(F.btrim(w, F.lit(MARKS))).isin(*dict.fromkeys(STOP_WORDS)))),
     }
 
 
@@ -95,7 +101,7 @@ def _ratios() -> dict[str, Column]:
         "mean_word_chars": F.col("word_chars") / words,
         "symbols_per_word": F.col("n_symbols") / words,
         "exclamations_per_word": F.regexp_count("__text", F.lit("!")) / words,
-        "words_without_stop_word": F.when(F.col("__stop_words") > 0, 0).otherwise(F.col("n_words")),
+        "stop_word_share": F.when(F.col("n_words") > SHORT, F.col("__stop_words") / words).otherwise(F.lit(1.0)),
         "dup_line_share": F.col("n_dup_lines") / F.greatest(F.size("__lines"), F.lit(1)),
     }
 
@@ -117,7 +123,10 @@ def apply_rules(docs: DataFrame, rules=RULES, base=BASE_RULES, text: str = "text
     Every measure and threshold is a built-in expression of one narrow
     projection: no shuffle, no user function, whole texts. A null text counts
     as empty and fails the base rules for want of words. Result columns replace
-    input columns of the same name; rows and their number are unchanged.
+    input columns of the same name; rows and their number are unchanged, so
+    repeated rows are judged alike and an empty table gives an empty result.
+    Stop words count in any case and with marks around them; texts of up to
+    ``SHORT`` words are not judged by their share.
     """
     steps = _steps(docs, text, window)
     counted = steps.withColumns({f"__{k}": v for k, v in measures(F.col("__text")).items()})
