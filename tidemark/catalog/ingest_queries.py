@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from tidemark import fixtures as X
 from tidemark.catalog import query
 from tidemark.catalog.base import Inputs, sql
+from tidemark.operators import timeseries as TS
 from tidemark.operators.state import latest_state
 from tidemark.schemas import KEYS
 from tidemark.sources import changes as C
 from tidemark.streaming import ingest, levels, monitor
+from tidemark.streaming import islands as I
 
 
 def _messages(x: Inputs, entity: str):
@@ -296,3 +298,79 @@ def _(x: Inputs):
         (F.col("customer_id") % 10).alias("k"), F.col("source_ts").alias("ts"),
         monitor.lag_millis("ingested_at", "source_ts").cast("double").alias("value"))
     return monitor.capture_lag_alerts(lags, ["k"], 1500, 48 * 3600)
+
+
+# alerts as sessions of a stream
+
+EVALUATED = 900  # seconds between evaluations
+SERIES = ["metric", "instance"]
+
+
+def _out_of_order_samples(x: Inputs) -> tuple[DataFrame, str]:
+    """A stream of the samples in six time blocks, each two swapped, and the lateness that covers it.
+
+    A heartbeat long after the last sample closes every session.
+    """
+    root = x.scratch("samples")
+    samples = TS.with_labels(x.samples(), "instance").select("ts", *SERIES, "value")
+    first, last = samples.agg(F.min("ts"), F.max("ts")).first()
+    block = (last - first) / 6
+    for n, k in enumerate((1, 0, 3, 2, 5, 4)):
+        part = samples.filter((F.col("ts") >= first + block * k) if k else F.lit(True))
+        part.filter((F.col("ts") < first + block * (k + 1)) if k < 5 else F.lit(True)).write.parquet(f"{root}/{n}")
+    # Of a series of its own, whose session stays open; under a metric that the rules know, because a filter on
+    # other columns than the time is moved below the watermark.
+    beat = samples.limit(1).select(F.lit(last + block * 6).cast("timestamp_ntz").alias("ts"), "metric",
+                                   F.lit("heartbeat").alias("instance"), "value")
+    beat.write.parquet(f"{root}/9")
+    stream = x.spark.readStream.schema(samples.schema).option("maxFilesPerTrigger", 4).parquet(f"{root}/*")
+    return stream, f"{int(block.total_seconds() * 3)} seconds"
+
+
+def _collected(x: Inputs, stream: DataFrame) -> DataFrame:
+    dst = x.scratch("sessions")
+    stream.writeStream.format("parquet").outputMode("append").option("path", dst).option(
+        "checkpointLocation", x.scratch("ckpt")).trigger(availableNow=True).start().awaitTermination()
+    return x.spark.read.schema(stream.schema).parquet(dst)
+
+
+def _evaluated(x: Inputs) -> DataFrame:
+    """Evaluations with a rule for every metric: seconds to hold, and to go on without a breach."""
+    samples, lateness = _out_of_order_samples(x)
+    rules = x.spark.createDataFrame(
+        [("events_click", 3600, 1800), ("events_view", 1800, 900), ("events_purchase", 7200, 3600), ("events_error", 7200, 7200),
+         ("events_signup", 3600, 2700)], "metric string, hold int, gap int")
+    return I.evaluations(samples, SERIES, EVALUATED, lateness).join(rules, "metric")
+
+
+EVALUATED_SQL = f"""rules AS (SELECT * FROM (VALUES ('events_click', 3600, 1800), ('events_view', 1800, 900),
+  ('events_purchase', 7200, 3600), ('events_error', 7200, 7200), ('events_signup', 3600, 2700)) v(metric, hold, gap)),
+evaluated AS (SELECT metric, instance, no * {EVALUATED} AS tick, value, hold, gap FROM (
+  SELECT metric, instance, epoch_us(ts) // {EVALUATED * 1_000_000} + 1 AS no, value,
+    row_number() OVER (PARTITION BY metric, instance, epoch_us(ts) // {EVALUATED * 1_000_000} ORDER BY ts DESC, value DESC) AS rn
+  FROM samples) q JOIN rules USING (metric) WHERE rn = 1)"""
+
+
+def _sessions_sql(where: str, main: str) -> str:
+    return sql(f"""
+{main} FROM (SELECT metric, instance, hold, gap, run, min(tick) AS a, max(tick) AS b, count(*) AS n
+  FROM (SELECT *, sum(CASE WHEN tick - prev <= gap THEN 0 ELSE 1 END)
+      OVER (PARTITION BY metric, instance ORDER BY tick ROWS UNBOUNDED PRECEDING) AS run
+    FROM (SELECT *, lag(tick) OVER (PARTITION BY metric, instance ORDER BY tick) AS prev FROM evaluated WHERE {where}) l) r
+  GROUP BY ALL) s""", "samples").replace("\nSELECT metric, instance, make", f",\n{EVALUATED_SQL}\nSELECT metric, instance, make", 1)
+
+
+def _second(s: str) -> str:
+    return f"make_timestamp(({s}) * 1000000)"
+
+
+@query("alert_stretches_streamed", _sessions_sql("value > 30", f"""SELECT metric, instance, {_second('a')} AS start, {_second('b')} AS "end",
+  CASE WHEN b - a >= hold THEN {_second('a + hold')} END AS fire_at, {_second('b + gap')} AS over_at, n"""))
+def _(x: Inputs):
+    by = [*SERIES, "hold", "gap"]
+    return _collected(x, I.alert_islands(_evaluated(x), by, F.col("value") > 30, "gap", "hold")).drop("hold", "gap")
+
+
+@query("silent_series_streamed", _sessions_sql("true", f"""SELECT metric, instance, {_second('b')} AS last_seen, {_second('b + gap')} AS stale_at"""))
+def _(x: Inputs):
+    return _collected(x, I.silences(_evaluated(x), [*SERIES, "gap"], "gap")).drop("gap")
