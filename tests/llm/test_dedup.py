@@ -55,6 +55,48 @@ def test_near_duplicates_against_all_pairs(spark):
     assert all(r.kept == (r.doc_id == r.class_id) for r in got)
 
 
+def test_near_groups_whose_members_are_far_from_one_centre(spark):
+    """Copies of one text with a few swapped words: some pairs reach 0.8, most do not, none need reach the centre."""
+    random.seed(11)
+    base = [f"w{i}" for i in range(80)]
+    texts = [" ".join(base)]
+    for _ in range(220):
+        words = list(base)
+        for _ in range(random.choice((2, 3, 3, 4, 4, 5))):
+            words[random.randrange(16) * 5] = random.choice("abc")
+        texts.append(" ".join(words))
+    ids = list(range(len(texts)))
+    sets = [shingles(t) for t in texts]
+    linked = []
+    for i in ids:
+        for j in range(i):
+            both = sum((sets[i] & sets[j]).values())
+            if both >= 0.8 * (sum(sets[i].values()) + sum(sets[j].values()) - both):
+                linked.append((i, j))
+    want = classes(ids, linked)
+    assert 20 < len(set(want.values())) < 200
+    got = minhash.near_duplicates(spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == want
+
+
+def test_prefixes_lose_no_pair_and_leave_most_out(spark):
+    rng = random.Random(5)
+    sets = {}
+    for i in range(300):
+        # Families of sets around 40 values, changed in up to nine places.
+        s = {(i % 20) * 1000 + v for v in range(40)}
+        for _ in range(rng.randrange(10)):
+            s.discard(rng.choice(sorted(s)))
+            s.add(rng.randrange(10**6, 10**6 + 400))
+        sets[i] = s
+    data = spark.createDataFrame([(i, sorted(s)) for i, s in sets.items()], "id long, shingles array<long>")
+    texts = spark.createDataFrame([(i, i) for i in sets], "rep long, class long")
+    got = {(r.a, r.b) for r in minhash._prefix_pairs(texts, data, 0.8).collect()}
+    want = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    same_family = sum(1 for a in sets for b in sets if a < b and a % 20 == b % 20)
+    assert want and want <= got and len(got) < same_family
+
+
 def test_signatures_estimate_the_weighted_similarity():
     rng = np.random.default_rng(3)
     errors = []

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.llm.common import components, staged
 from tidemark.llm.words import GOLDEN, find_words, hash_runs, mix, slices, word_shingles
@@ -173,6 +174,33 @@ def _possible(share: float) -> Column:
         F.least(n - own, n_b - own_b) >= share * F.greatest(n, n_b))
 
 
+def _prefix_pairs(texts: DataFrame, shingles: DataFrame, share: float) -> DataFrame:
+    """(a, b): pairs of ``texts`` (rep, class) in different classes, with every pair that can overlap enough.
+
+    Ordered by rarity, the first n - ceil(share * n) + 1 shingles of two such
+    texts have one in common, and from where they first meet on enough must be
+    left on both sides. Shingles of one text only take their place in that
+    order and join with nothing.
+    """
+    named = shingles.join(texts.withColumnRenamed("rep", "id"), "id").select(
+        "id", "class", F.size("shingles").cast("long").alias("n"), "shingles")
+    tokens = named.select("id", F.explode("shingles").alias("value"))
+    common = tokens.groupBy("value").agg(F.count("*").alias("texts")).filter("texts > 1")
+    met = tokens.join(common, "value")
+    by_rarity = Window.partitionBy("id").orderBy("texts", "value")
+    ranked = met.select("id", "value", F.row_number().over(by_rarity).alias("nth"),
+                        F.count("*").over(Window.partitionBy("id")).alias("common"))
+    # The place counts the text's own shingles, which are the rarest, and starts at 0.
+    place = F.col("n") - F.col("common") + F.col("nth") - 1
+    first = staged(ranked.join(named.select("id", "class", "n"), "id").withColumn("place", place)
+                   .filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * share - 1e-9))
+                   .select("value", "id", "class", "n", (F.col("n") - F.col("place")).alias("rest")), "minhash-prefixes")
+    other = first.select(*[F.col(c).alias(f"{c}_b") for c in first.columns])
+    enough = F.least("rest", "rest_b") >= share / (1 + share) * (F.col("n") + F.col("n_b")) - 1e-6
+    return first.join(other, (F.col("value") == F.col("value_b")) & (F.col("id") < F.col("id_b")) & (
+        F.col("class") != F.col("class_b")) & enough).select(F.col("id").alias("a"), F.col("id_b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5,
                     share: float = 0.8) -> DataFrame:
     """(doc_id, class_id, kept) for every row of ``docs``.
@@ -188,9 +216,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     can have to any other: those that cannot reach the threshold leave. In each
     bucket all others are verified against the one with the smallest share of
     shingles of its own, which costs one pair per member however large a group
-    is. Where a bucket then still holds several classes, pairs across them are
-    verified wherever the bound allows a link, so no link that joins two
-    classes of a bucket is lost.
+    is. The members of buckets that then still hold several classes are joined
+    by a prefix filter on their rarest shingles, which leaves out no pair that
+    overlaps enough, and pairs across classes are verified.
     """
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     signed = staged(rows.withColumn("digest", F.md5("text")).mapInArrow(
@@ -209,15 +237,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     shape = _own_shingles(shingles).filter(F.col("n") - F.col("own") >= share * F.col("n")).withColumnRenamed("id", "rep")
     able = staged(crowded.join(shape, "rep").select("key", "rep", "n", "own"), "minhash-able")
 
-    def across(placed: DataFrame, other: DataFrame, condition: Column) -> DataFrame:
-        """Linked pairs of members of ``placed`` and ``other`` that meet in a bucket."""
-        other = other.select("key", *[F.col(c).alias(f"{c}_b") for c in other.columns if c != "key"])
-        met = placed.join(other, (placed["key"] == other["key"]) & condition & _possible(share))
-        pairs = met.select(F.least("rep", "rep_b").alias("a"), F.greatest("rep", "rep_b").alias("b")).distinct()
-        return staged(_links(pairs, shingles, share), "minhash-links")
-
     centre = able.groupBy("key").agg(F.min(F.struct((F.col("own") / F.col("n")).alias("s"), "rep", "n", "own")).alias("c"))
-    links = across(able, centre.select("key", "c.rep", "c.n", "c.own"), F.col("rep") != F.col("rep_b"))
+    near = able.join(centre.select("key", *[F.col(f"c.{c}").alias(f"{c}_b") for c in ("rep", "n", "own")]), "key").filter(
+        (F.col("rep") != F.col("rep_b")) & _possible(share))
+    pairs = near.select(F.least("rep", "rep_b").alias("a"), F.greatest("rep", "rep_b").alias("b")).distinct()
+    links = staged(_links(pairs, shingles, share), "minhash-links")
     classes = staged(components(links, label="minhash-classes"), "minhash-classes")
 
     def with_class(df: DataFrame, column: str, name: str) -> DataFrame:
@@ -226,8 +250,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     placed = with_class(able, "rep", "class")
     several = placed.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo <> hi")
-    placed = staged(placed.join(several.select("key"), "key", "left_semi"), "minhash-left")
-    more = across(placed, placed, (F.col("rep") < F.col("rep_b")) & (F.col("class") != F.col("class_b")))
+    left = staged(placed.join(several.select("key"), "key", "left_semi").select("rep", "class").distinct(), "minhash-left")
+    more = staged(_links(_prefix_pairs(left, shingles, share), shingles, share), "minhash-links")
     if not more.isEmpty():
         classes = staged(components(links.unionAll(more), label="minhash-classes"), "minhash-classes")
 
