@@ -20,7 +20,8 @@ CHOSEN = [
     "latest_state_order_items", "state_as_of_half_log", "invalid_status_transitions", "order_age_quantiles",
     "counter_rate", "condition_held_for", "instant_values", "ingestion_stalled", "dashboard_metric_names",
     "typed_products", "replace_one_lake_day", "daily_chain", "streamed_ingest_current_orders",
-    "compare_control_with_warehouse", "panel_cpu_used", "relationships_check",
+    "compare_control_with_warehouse", "panel_cpu_used", "relationships_check", "orders_changed_by_digest",
+    "alert_stretches_streamed", "silent_series_streamed",
 ]
 
 
