@@ -182,6 +182,26 @@ def test_short_lines_against_all_pairs(spark):
     assert got == {(d, i): (*first[root[s]], degree[s], (d, i) == first[root[s]]) for d, i, s in places}
 
 
+def test_lines_of_any_length_are_linked_where_asked(spark):
+    random.seed(10)
+    pool = ["".join(random.choice("abé\U0001f600 ") for _ in range(random.choice([1, 2, 3, 5, 8, 10, 11, 12, 13, 20]))) for _ in range(50)]
+    pool += [s[:p] + "z" + s[p + random.choice([0, 1]):] for s in pool for p in [random.randrange(len(s) + 1)]]
+    rows = [(i, s) for i, s in enumerate(pool) if s.strip()]
+    lines = sorted({s for _, s in rows})
+    linked = [(a, b) for i, a in enumerate(lines) for b in lines[:i] if edits(a, b) <= 2]
+    degree = Counter(x for pair in linked for x in pair)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = line_dedup.line_classes(df, max_edits=2, min_chars=1, linked_from=1).collect()
+    assert {r.doc_id: r.n_links for r in got} == {i: degree[s] for i, s in rows}
+
+
+def test_registered_line_query_links_short_lines(spark, tmp_path):
+    spark.createDataFrame([(1, "abcde"), (2, "abcdz"), (3, "vwxyz")], "doc_id long, text string").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    got = queries.QUERIES["op6_line_dedup"](spark, str(tmp_path)).collect()
+    assert {r.doc_id: (r.class_doc_id, r.n_links, r.kept) for r in got} == {1: (1, 1, True), 2: (1, 1, False), 3: (3, 0, True)}
+
+
 def test_registered_line_query_has_every_line_with_a_word(spark):
     docs = table(spark, "/root/testdata/sf0.001", "documents").collect()
     want = {(r.doc_id, i) for r in docs for i, s in enumerate((r.text or "").split("\n")) if WORD.search(s)}

@@ -5,7 +5,9 @@ characters turn one into the other. A line is cut into max_edits + 1 segments:
 such edits leave one of them untouched. Every line is indexed by its segments
 and looks up the substrings that could be a segment of a line of its own length
 or up to max_edits shorter, at the few places that edits on either side allow.
-What meets is verified by a banded bit-parallel edit distance.
+A line too short for such segments meets others by what is left of both when up
+to max_edits characters are taken out. What meets is verified by a banded
+bit-parallel edit distance.
 """
 
 from __future__ import annotations
@@ -45,6 +47,21 @@ def segment_keys(lines: DataFrame, max_edits: int) -> DataFrame:
     return rows.select("id", "letters", key.alias("key"), ((F.col("shorter") == 0) & (F.col("shift") == 0)).alias("indexed"))
 
 
+def deletion_keys(lines: DataFrame, max_edits: int) -> DataFrame:
+    """Rows (id, n, key) of ``lines`` (id, line, n): what is left of a line without up to max_edits of its characters.
+
+    An inserted or deleted character is one to take out on one side, a replaced
+    one on both, so any two lines within max_edits share a key.
+    """
+    left = F.array("line")
+    for _ in range(max_edits):
+        shorter = F.flatten(F.transform(left, lambda t: F.transform(
+            F.filter(F.sequence(F.lit(0), F.char_length(t)), lambda i: i > 0),
+            lambda i: F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.char_length(t))))))
+        left = F.array_distinct(F.concat(left, shorter))
+    return lines.select("id", "n", F.explode(left).alias("key"))
+
+
 def letter_counts(line: Column) -> Column:
     """Counts of eight letters modulo 256, eight bits each."""
     packed = F.lit(0).cast("long")
@@ -124,17 +141,19 @@ def _lines(docs: DataFrame, doc_id: str, text: str, min_chars: int) -> DataFrame
 
 
 def line_classes(docs: DataFrame, max_edits: int = 2, min_chars: int = 30, doc_id: str = "doc_id",
-                 text: str = "text") -> DataFrame:
+                 text: str = "text", linked_from: int | None = None) -> DataFrame:
     """One row per line of at least ``min_chars`` characters and a word; with 1, per line with a word.
 
     doc_id, line_no (from 0), class_doc_id and class_line_no (the first line, by
     document and number, that equal lines and links connect it to), n_links
     (different lines it is linked to directly) and kept (it is that first line).
     Lines shorter than (max_edits + 1)² + max_edits characters, 11 at two edits,
-    leave a segment too few characters: they are compared by equality only, and
-    no link leads to them. A null or empty text has no lines; a null doc_id
-    sorts before all others; rows with the same doc_id are one document. An
-    empty table gives an empty result, other columns are not read.
+    leave a segment too few characters. Those of at least ``linked_from``
+    characters meet others by their deletions, so with 1 no link is left out;
+    those below it, by default all of them, are compared by equality only. A
+    null or empty text has no lines; a null doc_id sorts before all others; rows
+    with the same doc_id are one document. An empty table gives an empty result,
+    other columns are not read.
 
     Equal lines meet by a 128-bit hash with map-side combining, so a line that a
     third of all documents share is one row per task, and only different lines
@@ -147,14 +166,24 @@ def line_classes(docs: DataFrame, max_edits: int = 2, min_chars: int = 30, doc_i
                       "letters": letter_counts(F.col("line"))}), "lines-distinct")
 
     # From this length on, each of the max_edits + 1 segments has more than max_edits characters.
-    keys = segment_keys(distinct.filter(F.col("n") >= (max_edits + 1) ** 2 + max_edits), max_edits)
+    long = (max_edits + 1) ** 2 + max_edits
+    keys = segment_keys(distinct.filter(F.col("n") >= long), max_edits)
     index = keys.filter("indexed").select("key", F.col("id").alias("b"), F.col("letters").alias("letters_b"))
     probes = keys.select("key", "indexed", F.col("id").alias("a"), F.col("letters").alias("letters_a"))
     # A line looks up its own segments too: of two lines of one length that meet there, the pair is taken once.
     met = probes.join(index, (probes["key"] == index["key"]) & (F.col("a") != F.col("b"))
                       & (~F.col("indexed") | (F.col("a") < F.col("b")))
                       & (letters_apart(F.col("letters_a"), F.col("letters_b")) <= 2 * max_edits))
-    pairs = staged(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "lines-pairs")
+    met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    least = long if linked_from is None else max(linked_from, min_chars)
+    if least < long:
+        left = deletion_keys(distinct.filter(F.col("n").between(least, long + max_edits - 1)), max_edits)
+        left = left.select("key", F.col("id").alias("a"), F.col("n").alias("n_a"))
+        right = left.select("key", F.col("a").alias("b"), F.col("n_a").alias("n_b"))
+        near = left.join(right, "key").filter(
+            (F.col("a") < F.col("b")) & (F.least("n_a", "n_b") < long) & (F.abs(F.col("n_a") - F.col("n_b")) <= max_edits))
+        met = met.unionAll(near.select("a", "b"))
+    pairs = staged(met.distinct(), "lines-pairs")
     # Written, so that its size is known: a short list of ids is broadcast, and only a long one makes the lines travel.
     wanted = staged(pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")).distinct(), "lines-wanted")
     texts = staged(distinct.select("id", "line").join(wanted, "id", "left_semi"), "lines-met")
