@@ -54,3 +54,27 @@ def test_rows_without_a_key_are_refused(spark, tmp_path):
         levels.add_batch(spark.createDataFrame([(None, 1, "a", 0)], LOG), str(tmp_path / "t"), ["k"])
     with pytest.raises(FileNotFoundError):
         levels.read_levels(spark, str(tmp_path / "t"), ["k"])
+
+
+def test_named_columns_only_are_read(spark, tmp_path):
+    table = str(tmp_path / "t")
+    for part in ([(1, 1, "a", 0), (2, 2, "b", 0)], [(2, 3, "c", 1), (3, 4, "d", 0)]):
+        levels.add_batch(spark.createDataFrame(part, LOG), table, ["k"])
+    got = levels.read_levels(spark, table, ["k"], columns=["k", "is_deleted"])
+    assert rows(got) == [(1, 0), (3, 0)]
+    scan = got._jdf.queryExecution().executedPlan().toString()
+    assert "source_lsn" in scan and "v#" not in scan
+
+
+def test_a_merge_moves_the_rows_once(spark, tmp_path, monkeypatch):
+    plans, write = [], levels._write_run
+
+    def seen(rows, table, key, level, collapse=lambda dealt: dealt):
+        plans.append((level, collapse(rows.repartitionByRange(key))._jdf.queryExecution().executedPlan().toString()))
+        return write(rows, table, key, level, collapse)
+
+    monkeypatch.setattr(levels, "_write_run", seen)
+    for lsn in (1, 2):
+        levels.add_batch(spark.createDataFrame([(7, lsn, "a", 0), (8, lsn, "b", 0)], LOG), str(tmp_path / "t"), ["k"], fanout=2)
+    assert [plan.count("Exchange ") for level, plan in plans if level] == [1]
+    assert rows(levels.read_levels(spark, str(tmp_path / "t"), ["k"])) == [(7, 2, "a", 0), (8, 2, "b", 0)]

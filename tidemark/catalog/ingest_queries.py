@@ -132,11 +132,15 @@ def _(x: Inputs):
 
 
 def _out_of_order(x: Inputs, entity: str) -> str:
-    """Messages in folders by version so that late versions come first, one folder twice."""
+    """Messages in folders by version so that late versions come first, one folder twice.
+
+    As text they would be most of what a query writes; in compressed Parquet a
+    file is still split among tasks.
+    """
     log, root = x.log(entity), x.scratch(f"{entity}-queue")
     for folder, part in (("0", 2), ("1", 0), ("2", 1), ("3", 2)):
         rows = log.filter(F.col("source_lsn") % 3 == part)
-        X.to_wire(rows, entity).write.text(f"{root}/{folder}")
+        X.to_wire(rows, entity).write.option("compression", "zstd").parquet(f"{root}/{folder}")
     return root
 
 
@@ -149,7 +153,8 @@ CURRENT = ["order_id", "customer_id", "status", "total_amount", "created_at", "u
 def _(x: Inputs):
     """Redelivered and out-of-order messages end in the same current rows."""
     dst = x.scratch("log")
-    ingest.start_ingest(x.spark, _out_of_order(x, "orders") + "/*", dst, "orders", x.scratch("ckpt")).awaitTermination()
+    ingest.start_ingest(
+        x.spark, _out_of_order(x, "orders") + "/*", dst, "orders", x.scratch("ckpt"), fmt="parquet").awaitTermination()
     return _plain(latest_state(ingest.read_log(x.spark, dst), ["order_id"], columns=CURRENT))
 
 
@@ -173,7 +178,7 @@ SELECT customer_id, email, country_code, source_lsn FROM cur_customers""", "cur_
 def _(x: Inputs):
     state = x.scratch("state")
     ingest.start_upsert(
-        x.spark, _out_of_order(x, "customers") + "/*", state, "customers", x.scratch("ckpt")).awaitTermination()
+        x.spark, _out_of_order(x, "customers") + "/*", state, "customers", x.scratch("ckpt"), fmt="parquet").awaitTermination()
     return ingest.read_state(x.spark, state, "customers").select(
         "customer_id", "email", "country_code", "source_lsn")
 
@@ -183,7 +188,7 @@ SELECT product_id, category, current_price AS price, source_lsn FROM cur_product
 def _(x: Inputs):
     state = x.scratch("state")
     ingest.start_upsert(
-        x.spark, _out_of_order(x, "products") + "/*", state, "products", x.scratch("ckpt")).awaitTermination()
+        x.spark, _out_of_order(x, "products") + "/*", state, "products", x.scratch("ckpt"), fmt="parquet").awaitTermination()
     return ingest.compact_state(x.spark, state, "products", x.scratch("compacted")).select(
         "product_id", "category", "price", "source_lsn")
 
@@ -191,15 +196,15 @@ def _(x: Inputs):
 def _levelled(x: Inputs) -> str:
     table = x.scratch("levels")
     levels.start_levelled_upsert(
-        x.spark, _out_of_order(x, "orders") + "/*", table, "orders", x.scratch("ckpt"), options={"maxFilesPerTrigger": "4"},
-    ).awaitTermination()
+        x.spark, _out_of_order(x, "orders") + "/*", table, "orders", x.scratch("ckpt"), fmt="parquet",
+        options={"maxFilesPerTrigger": "4"}).awaitTermination()
     return table
 
 
 @query("levelled_state_orders", CURRENT_SQL)
 def _(x: Inputs):
     """Several batches, late and repeated versions among them, merged by levels."""
-    return _plain(levels.read_levels(x.spark, _levelled(x), KEYS["orders"]).select(*CURRENT))
+    return _plain(levels.read_levels(x.spark, _levelled(x), KEYS["orders"], columns=CURRENT))
 
 
 @query("levelled_state_lookup", sql("""
@@ -207,8 +212,8 @@ SELECT order_id, status, total_amount, source_lsn FROM cur_orders WHERE order_id
 def _(x: Inputs):
     """A few keys out of the levels: only files whose range holds one of them are opened."""
     wanted = [r[0] for r in x.orders("order_id").filter("order_id % 1500 = 7").collect()]
-    return levels.read_levels(x.spark, _levelled(x), KEYS["orders"], lookup=wanted).select(
-        "order_id", "status", "total_amount", "source_lsn")
+    return levels.read_levels(x.spark, _levelled(x), KEYS["orders"], lookup=wanted,
+                              columns=["order_id", "status", "total_amount", "source_lsn"])
 
 
 # lag, freshness and progress

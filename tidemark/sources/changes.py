@@ -17,9 +17,10 @@ def read_messages(
 ) -> DataFrame:
     """Raw messages as one ``value`` string column.
 
-    ``fmt="text"`` reads files of JSON lines. ``fmt="kafka"`` treats ``path``
-    as the topic and needs the connector jar on the class path; a first start
-    reads from the earliest offset.
+    ``fmt="text"`` reads files of JSON lines, ``fmt="parquet"`` files that hold
+    the messages in a column ``value``, compressed and still read by many
+    tasks. ``fmt="kafka"`` treats ``path`` as the topic and needs the connector
+    jar on the class path; a first start reads from the earliest offset.
     """
     reader = spark.readStream if streaming else spark.read
     options = dict(options or {})
@@ -28,7 +29,7 @@ def read_messages(
         return reader.format("kafka").options(**options).load().select(
             F.col("value").cast("string").alias("value")
         )
-    return reader.format("text").options(**options).load(path).select("value")
+    return reader.format(fmt).schema("value string").options(**options).load(path).select("value")
 
 
 def read_changes(

@@ -10,6 +10,7 @@ lookup opens, of each run, the files whose range holds one of its keys.
 from __future__ import annotations
 
 import bisect
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -23,12 +24,17 @@ from tidemark.sources.manifest import Entry, VerificationError
 FANOUT = 4
 
 
-def _write_run(rows: DataFrame, table: str, key: str, level: int) -> list[Entry]:
-    """Write rows by ranges of the key and say what each file holds."""
+def _write_run(
+    rows: DataFrame, table: str, key: str, level: int, collapse: Callable[[DataFrame], DataFrame] = lambda dealt: dealt,
+) -> list[Entry]:
+    """Write rows by ranges of the key and say what each file holds; ``collapse`` works within the ranges."""
     spark, run, seen = rows.sparkSession, manifest.run_folder(), Observation()
     # Counted after the ranges are dealt: finding them reads the rows once more.
-    dealt = rows.repartitionByRange(key).sortWithinPartitions(key)
-    dealt.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{table}/{run}")
+    dealt = collapse(rows.repartitionByRange(key)).sortWithinPartitions(key)
+    dealt.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(key).isNull()).alias("keyless")).write.parquet(
+        f"{table}/{run}")
+    if seen.get["keyless"]:
+        raise VerificationError(f"rows without {key}")
     back = spark.read.schema(rows.schema).parquet(f"{table}/{run}")
     # One row per file; a run has as many files as ranges.
     files = back.groupBy(F.col("_metadata.file_name").alias("file")).agg(
@@ -66,8 +72,6 @@ def add_batch(
     """
     spark = batch.sparkSession
     newest = latest_state(batch, keys, version=version, deleted=None)
-    if not newest.filter(F.col(keys[0]).isNull()).isEmpty():
-        raise VerificationError(f"rows without {keys[0]}")
     entries = _write_run(newest, table, keys[0], 0)
     schema = newest.schema
 
@@ -86,12 +90,17 @@ def add_batch(
 def _merge(spark, table, now, level, keys, version, schema, settled) -> manifest.Manifest:
     """All runs of a level as one run of the next one."""
     old_files = [e for e in now.entries if e.level == level]
-    merged = latest_state(_rows(spark, table, old_files, schema), keys, version=version, deleted=None)
     last = not any(e.level > level for e in now.entries)
-    if last and settled is not None:
-        # Nothing older lies below and nothing older will come: these keys are gone.
-        merged = merged.filter((F.coalesce(F.col("is_deleted"), F.lit(0)) == 0) | (F.col(version) > settled))
-    new = _write_run(merged, table, keys[0], level + 1)
+
+    def collapse(dealt: DataFrame) -> DataFrame:
+        merged = latest_state(dealt, keys, version=version, deleted=None)
+        if last and settled is not None:
+            # Nothing older lies below and nothing older will come: these keys are gone.
+            merged = merged.filter((F.coalesce(F.col("is_deleted"), F.lit(0)) == 0) | (F.col(version) > settled))
+        return merged
+
+    # A run holds a key once, so few rows share one: the ranges serve the collapse too, and the rows travel once.
+    new = _write_run(_rows(spark, table, old_files, schema), table, keys[0], level + 1, collapse)
     gone = {e.path for e in old_files}
 
     def change(current):
@@ -117,9 +126,13 @@ def files_of(spark: SparkSession, table: str, lookup: list | None = None) -> lis
 
 
 def read_levels(
-    spark: SparkSession, table: str, keys: list[str], version: str = "source_lsn", lookup: list | None = None
+    spark: SparkSession, table: str, keys: list[str], version: str = "source_lsn", lookup: list | None = None,
+    columns: list[str] | None = None,
 ) -> DataFrame:
-    """Current rows, or those of some first keys; only files whose range can hold them are opened."""
+    """Current rows, or those of some first keys; only files whose range can hold them are opened.
+
+    ``columns`` names what the caller needs, all by default: the others are neither read nor shuffled.
+    """
     now = manifest.load(spark, table)
     if now is None:
         raise FileNotFoundError(f"nothing is published at {table}")
@@ -128,7 +141,7 @@ def read_levels(
     rows = _rows(spark, table, files, schema) if files else spark.createDataFrame([], schema)
     if lookup is not None:
         rows = rows.filter(F.col(keys[0]).isin(*lookup)) if lookup else rows.limit(0)
-    return latest_state(rows, keys, version=version)
+    return latest_state(rows, keys, version=version, columns=columns)
 
 
 def start_levelled_upsert(
