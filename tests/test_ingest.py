@@ -67,6 +67,25 @@ def test_dead_letters_are_set_aside_whole(spark):
     assert sorted(r.value for r in dead.collect()) == sorted(bad)
 
 
+def test_dead_letters_are_parsed_once_for_both_results(spark):
+    raw = spark.createDataFrame([(message(1),), ("{broken",)], "value string")
+    for part in C.split_dead_letters(raw, "customers"):
+        assert "from_json" not in part._jdf.queryExecution().optimizedPlan().toString() and part.count() == 1
+
+
+def test_messages_in_compressed_files_are_read_like_text(spark, tmp_path):
+    sent = [(message(i),) for i in range(300)]
+    raw = spark.createDataFrame(sent, "value string").coalesce(1)
+    raw.write.text(str(tmp_path / "text"))
+    raw.write.option("compression", "zstd").parquet(str(tmp_path / "queue"))
+    assert sorted(map(tuple, C.read_messages(spark, str(tmp_path / "queue"), fmt="parquet").collect())) == sorted(sent)
+    ingest.start_ingest(spark, str(tmp_path / "queue"), str(tmp_path / "log"), "customers", str(tmp_path / "ckpt"),
+                        fmt="parquet").awaitTermination()
+    assert ingest.read_log(spark, str(tmp_path / "log")).count() == 300
+    size = {n: sum(f.stat().st_size for f in (tmp_path / n).glob("part-*")) for n in ("text", "queue")}
+    assert size["queue"] * 4 < size["text"]
+
+
 def test_envelope_delete_keeps_the_old_row_and_nulls_stay_null(spark):
     row = {n: None for n in row_schema("customers").names}
     envelopes = [

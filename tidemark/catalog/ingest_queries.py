@@ -99,8 +99,8 @@ def _(x: Inputs):
 
 def _damaged(x: Inputs):
     """Some messages cut short, some with an amount that is no number."""
-    raw = _messages(x, "orders")
-    oid = F.get_json_object("value", "$.order_id").cast("bigint")
+    raw = _messages(x, "orders").withColumn("oid", F.get_json_object("value", "$.order_id").cast("bigint"))
+    oid = F.col("oid")
     return raw.select(
         F.when(oid % 100 == 7, F.substring("value", 1, 40))
         .when(oid % 100 == 8, F.regexp_replace("value", r'"total_amount":"[^"]*"', '"total_amount":"n/a"'))

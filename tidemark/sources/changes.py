@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalar as S
 from tidemark.schemas import ENTITIES, envelope_schema, row_schema, wire_schema
+from tidemark.session import shared_dir
 
 TOPIC_PREFIX = "cdc.public."
 
@@ -73,8 +74,18 @@ def good_and_dead(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def split_dead_letters(raw: DataFrame, entity: str) -> tuple[DataFrame, DataFrame]:
-    """(typed log rows, messages that could not be parsed or typed)."""
-    return good_and_dead(flag_dead_letters(raw, entity))
+    """(typed log rows, messages that could not be parsed or typed).
+
+    The flagged rows of a batch are written once below the shared folder: a
+    filter on the flag would be pushed below the parsing and repeat it for
+    every column the flag looks at, once more for each of the two results.
+    """
+    flagged = flag_dead_letters(raw, entity)
+    if not raw.isStreaming:
+        path = shared_dir(raw.sparkSession, f"{entity}-flagged")
+        flagged.write.parquet(path)
+        flagged = raw.sparkSession.read.schema(flagged.schema).parquet(path)
+    return good_and_dead(flagged)
 
 
 def _must_have(entity: str) -> list[str]:
