@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tables import rows
 from tidemark import catalog
 from tidemark.operators import quality as Q
-from tidemark.plans import checks
+from tidemark.plans import checks, staging
 
 
 def people(spark):
@@ -103,6 +103,24 @@ def test_every_declared_check_has_its_line(spark):
     assert sorted(f"{r.severity} {r.check}" for r in got) == DECLARED and len(DECLARED) == 50
 
 
+def test_declared_checks_collapse_each_log_once(spark, tmp_path, monkeypatch):
+    day, seen = dt.datetime(1997, 3, 1), []
+    for name, row, schema in [
+        ("orders", (3, 1, "F", 9.5, day), "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp"),
+        ("lineitem", (3, 1, 5, 2.0, 9.5, day), "l_orderkey bigint, l_linenumber bigint, l_partkey bigint, l_quantity double, "
+         "l_extendedprice double, l_shipdate timestamp"),
+        ("customer", (1, 2), "c_custkey bigint, c_nationkey bigint"),
+        ("part", (5, "p", "T", 2.0), "p_partkey bigint, p_name string, p_type string, p_retailprice double")]:
+        spark.createDataFrame([row], schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    for name in ("stg_orders", "stg_order_items", "stg_customers", "stg_products"):
+        build = getattr(staging, name)
+        monkeypatch.setattr(staging, name, lambda *a, n=name, b=build, **k: (seen.append(n), b(*a, **k))[1])
+    catalog.load()
+    got = {r.check: r.violations for r in catalog.QUERIES["declared_checks"](spark, str(tmp_path)).collect()}
+    assert sorted(seen) == ["stg_customers", "stg_order_items", "stg_orders", "stg_products"]
+    assert len(got) == 50 and not any(got.values())
+
+
 def test_rules_are_counted_while_a_model_is_written(spark, tmp_path):
     df = spark.createDataFrame([(1, 7, "paid", 1, "d"), (None, 7, "lost", None, "d"), (None, 7, None, 3, "d")],
                                "order_id int, customer_id int, status string, total_amount int, order_date string")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.catalog import query
@@ -60,8 +61,11 @@ def _(x: Inputs):
         x.orders("order_id", "status", "created_at"), x.products("product_id", "category"), "1997-03-16")
 
 
-def sql_mart(x: Inputs):
-    """The sales mart a second time, as SQL text over the same staging models."""
+def sql_mart(x: Inputs, written: dict[str, DataFrame] | None = None):
+    """The sales mart a second time, as SQL text over the same staging models, or over those already written."""
+    if written is not None:
+        return x.spark.sql(
+            MART_SQL_TEXT, items=written["stg_order_items"], orders=written["stg_orders"], products=written["stg_products"])
     return x.spark.sql(
         MART_SQL_TEXT,
         items=x.items("order_item_id", "order_id", "product_id", "quantity", "unit_price"),
