@@ -180,7 +180,8 @@ def line_classes(docs: DataFrame, max_edits: int = 2, min_chars: int = 30, doc_i
         left = deletion_keys(distinct.filter(F.col("n").between(least, long + max_edits - 1)), max_edits)
         left = left.select("key", F.col("id").alias("a"), F.col("n").alias("n_a"))
         right = left.select("key", F.col("a").alias("b"), F.col("n_a").alias("n_b"))
-        near = left.join(right, "key").filter(
+        # Merged: before it is known how many deletions there are, a small table of lines would be broadcast with all of them.
+        near = left.join(right.hint("merge"), "key").filter(
             (F.col("a") < F.col("b")) & (F.least("n_a", "n_b") < long) & (F.abs(F.col("n_a") - F.col("n_b")) <= max_edits))
         met = met.unionAll(near.select("a", "b"))
     pairs = staged(met.distinct(), "lines-pairs")
