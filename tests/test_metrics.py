@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
@@ -61,6 +62,47 @@ def test_instant_shows_nothing_older_than_a_lookback_below_the_step(spark):
     assert TS.instant(df.filter("value = 1"), ["series"], 600, 30).isEmpty()
 
 
+def test_instant_spreads_a_sample_only_to_the_next_one(spark):
+    rnd = random.Random(3)
+    data, t = [], -70_000
+    for i in range(900):
+        t += rnd.choice([0, 1, 7, 40, 40, 700])
+        data.append((t, "g", {}, rnd.randint(0, 9)))
+    df = keyed(samples(spark, *data))
+    # Times before 1970 are not counted in whole steps.
+    for step, lookback in ((15, 300), (60, 45), (15, 15), (20, 70)):
+        seen = TS.instant(df, ["series"], step, lookback)
+        got = {r.t: r.value for r in seen.collect()}
+        grid = range(-70_000 // step * step, t + lookback + step, step)
+        want = {}
+        for now in grid:
+            visible = [(s, v) for s, _, _, v in data if s < now <= s + lookback]
+            # A sample on an evaluation time belongs to the step that begins there.
+            if visible:
+                want[at(now)] = max(visible)[1]
+        assert got == want and seen.count() == len(want)
+        # All that is spread is a row of the result: nothing is brought together after it.
+        plan = seen._jdf.queryExecution().optimizedPlan().toString()
+        assert "Aggregate" not in plan[:plan.index("sequence(_start")]
+
+
+def test_newest_of_steps_keeps_what_instant_reads(spark):
+    df = samples(spark, (1, "g", {"a": "1", "b": "2"}, 1), (16, "g", {"a": "1", "b": "2"}, 2), (17, "g", {"a": "1", "b": "2"}, 3),
+                 (17, "g", {"a": "1", "b": "2"}, 7), (17, "h", {"a": "1", "b": "2"}, 9),
+                 (2, "h", None, 5), (3, "h", None, 6))
+    kept = TS.newest_of_steps(df, 15)
+    assert kept.count() == 4 and kept.columns == df.columns
+    want, got = (rows(TS.instant(keyed(d), ["metric", "series"], 15, 45)) for d in (df, kept))
+    assert want == got
+
+
+def test_samples_are_cut_to_steps_before_they_are_tagged(spark):
+    df = samples(spark, *[(s, "pg_up", {"instance": "a"}, s % 2) for s in range(0, 120)])
+    plan = alerts.conditions(df, [r for r in RULES if r.name == "PostgresDown"], 60, 300)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in text[text.index("Generate explode("):]
+
+
 def test_up_targets_and_sums(spark):
     df = samples(spark, (1, "up", {"job": "k", "i": "1"}, 1), (2, "up", {"job": "k", "i": "2"}, 0),
                  (3, "up", {"job": "k", "i": "3"}, 1), (3, "up", {"job": "x", "i": "3"}, 1))

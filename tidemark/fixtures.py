@@ -266,16 +266,17 @@ def rule_samples(spark: SparkSession, sf_dir: str, specs: list) -> DataFrame:
         )
         for s in specs
     ])
-    # Spread the events before they multiply, so that no task expands a large split alone.
+    # Spread the events before they multiply, by time: as scrapes arrive, a task then holds all samples of its steps.
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     reading = Window.partitionBy(F.call_function("div", F.col("event_id"), F.lit(READING).cast("bigint")))
     # Whole cents, so that a sum does not depend on its order.
     cents = F.round(F.col("value") * 100).cast("bigint")
     events = table(spark, sf_dir, "events").select(
-        "event_id", "ts", "value", F.sum(cents).over(reading).alias("cents"), F.count(F.lit(1)).over(reading).alias("n"))
-    rows = events.repartition(tasks, "event_id").select(
-        packed_ts().alias("ts"), "event_id", F.floor("value").cast("double").alias("measured"), "cents", "n", F.inline(shapes)
-    )
+        packed_ts().alias("ts"), "event_id", F.floor("value").cast("double").alias("measured"),
+        F.sum(cents).over(reading).alias("cents"), F.count(F.lit(1)).over(reading).alias("n"))
+    # A join with the few specifications, so that what is asked of a metric or its labels is asked of them.
+    series = spark.range(1).select(F.inline(shapes)).withColumn("labels", F.map_from_arrays("names", "texts"))
+    rows = events.repartitionByRange(tasks, "ts").crossJoin(series)
     block = F.call_function("div", F.col("event_id"), F.col("period").cast("bigint"))
     limit = F.lit(LEAST_LOAD) + F.col("period") % LOADS
     level = F.when(F.col("cents") > limit * 100 * F.col("n"), F.col("high")).otherwise(F.col("low"))
@@ -285,7 +286,7 @@ def rule_samples(spark: SparkSession, sf_dir: str, specs: list) -> DataFrame:
         .when(F.col("mode") == "seen", F.unix_timestamp("ts").cast("double") - level)
         .otherwise(level)
     )
-    return rows.select("ts", "metric", F.map_from_arrays("names", "texts").alias("labels"), value.alias("value"))
+    return rows.select("ts", "metric", "labels", value.alias("value"))
 
 
 def to_wire(typed_log: DataFrame, entity: str) -> DataFrame:

@@ -7,7 +7,7 @@ differences inside the window; they are not extrapolated to its edges.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalar as S
@@ -18,6 +18,8 @@ STEP = 15
 LOOKBACK = 300
 MICROS = 1_000_000
 SPINE_BLOCK = 4096
+# Lookbacks in a block of evaluation times: one sample in so many is placed in two blocks.
+SEEN_BLOCK = 16
 
 
 def label(name: str) -> Column:
@@ -49,6 +51,11 @@ def _div(c: Column, by: int) -> Column:
     return F.call_function("div", c, F.lit(by).cast("bigint"))
 
 
+def _block_of(step_no: Column, size: int) -> Column:
+    """The block of so many steps that a step lies in; blocks before 1970 are as long as the others."""
+    return _div(step_no - F.pmod(step_no, F.lit(size).cast("bigint")), size)
+
+
 def _at(step_no: Column, step: int) -> Column:
     return S.from_micros(step_no * F.lit(step * MICROS))
 
@@ -107,20 +114,45 @@ def changes(samples: DataFrame, keys: list[str], window: int | Column, step: int
     return over_windows(counter_deltas(samples, keys), keys, "changed", window, step)
 
 
+def newest_of_steps(samples: DataFrame, step: int = STEP) -> DataFrame:
+    """The newest sample of each metric, label map and step; all that ``instant`` reads of ``samples``.
+
+    A map whose entries stand in another order counts as another one, so no label has to be sorted or written out per
+    sample. Metrics and maps are told apart by a 128-bit hash: the rows of the aggregate are then ordered by numbers only.
+    """
+    named = ["metric", "_names", "_texts"]
+    split = samples.select(
+        "ts", "value", "metric", F.map_keys("labels").alias("_names"), F.map_values("labels").alias("_texts"))
+    newest = split.groupBy(
+        F.xxhash64(*named).alias("_h1"), F.xxhash64(F.lit("second"), *named).alias("_h2"),
+        _div(S.epoch_micros("ts"), step * MICROS).alias("_no"),
+    ).agg(F.max(F.struct("ts", "value", *named)).alias("_s"))
+    return newest.select(
+        "_s.ts", "_s.metric", F.map_from_arrays("_s._names", "_s._texts").alias("labels"), "_s.value")
+
+
 def instant(samples: DataFrame, keys: list[str], step: int = STEP, lookback: int = LOOKBACK) -> DataFrame:
     """The newest value each evaluation time sees, at most ``lookback`` seconds old.
 
-    Only the newest sample of a (series, step) is spread over the lookback.
+    Only the newest sample of a (series, step) counts. It is seen until the next one comes or it is too old; what comes
+    next is looked up inside blocks of evaluation times, so a long series is not one group.
     """
     no = _div(S.epoch_micros("ts"), step * MICROS)
     newest = samples.groupBy(*keys, no.alias("_no")).agg(F.max(F.struct("ts", "value")).alias("_s"))
     # A sample at ts is visible at t while ts < t <= ts + lookback.
     last = _div(S.epoch_micros(F.col("_s.ts")) + lookback * MICROS, step * MICROS)
     first = F.col("_no") + 1
+    size = SEEN_BLOCK * max(1, -(-lookback // step))
     # With a lookback below the step, a sample may be too old at the first time after it.
-    spread = newest.select(*keys, "_s", F.explode(F.when(last >= first, F.sequence(first, last))).alias("_t"))
-    return spread.groupBy(*keys, "_t").agg(F.max("_s").alias("_s")).select(
-        *keys, _at(F.col("_t"), step).alias("t"), F.col("_s.value").alias("value")
+    placed = newest.select(*keys, "_no", "_s", last.alias("_last")).filter(F.col("_last") >= first).select(
+        "*", F.explode(F.sequence(_block_of(first, size), _block_of(F.col("_last"), size))).alias("_block"))
+    inside = Window.partitionBy(*keys, "_block").orderBy("_no")
+    start = F.greatest(first, F.col("_block") * size)
+    end = F.least("_last", F.lead("_no").over(inside), F.col("_block") * size + (size - 1))
+    # In a later block a newer sample may have come before the block's first time.
+    seen = placed.select(*keys, "_s.value", start.alias("_start"), end.alias("_end")).filter("_start <= _end")
+    return seen.select(*keys, F.explode(F.sequence("_start", "_end")).alias("_t"), "value").select(
+        *keys, _at(F.col("_t"), step).alias("t"), "value"
     )
 
 

@@ -32,16 +32,22 @@ def _where(rule: Rule) -> Column:
     return out
 
 
+def _feeds(rules: list[Rule]) -> dict[str, list[str]]:
+    """The names of the rules that a metric feeds."""
+    feeds: dict[str, list[str]] = {}
+    for r in rules:
+        for m in dict.fromkeys(m for m in (r.metric, r.other) if m):
+            feeds.setdefault(m, []).append(r.name)
+    return feeds
+
+
 def _tag(samples: DataFrame, rules: list[Rule]) -> DataFrame:
     """Samples once per rule they feed, in a column ``alert``.
 
     The metric name gives the candidate rules by one lookup; only rules with
     label conditions are then tested.
     """
-    feeds: dict[str, list[str]] = {}
-    for r in rules:
-        for m in dict.fromkeys(m for m in (r.metric, r.other) if m):
-            feeds.setdefault(m, []).append(r.name)
+    feeds = _feeds(rules)
     candidates = _lookup("metric", {m: F.array(*[F.lit(n) for n in names]) for m, names in feeds.items()})
     fed = samples.filter(F.col("metric").isin(*feeds)).select(
         "*", F.explode(candidates).alias("alert")
@@ -115,8 +121,10 @@ def _scaled(rules: list[Rule], value: Column) -> Column:
 
 def _newest_values(samples: DataFrame, rules: list[Rule], step: int, lookback: int) -> DataFrame:
     """Rules over the newest value each evaluation time sees."""
+    # Cut to the newest sample of a step first: rules and series are then named per step and not per sample.
+    fed = samples.filter(F.col("metric").isin(*_feeds(rules)))
     tagged = (
-        _tag(samples, rules)
+        _tag(TS.newest_of_steps(fed, step), rules)
         .withColumn("series", TS.series_key())
         .withColumns({"unit": _unit(rules), "below": _below(rules)})
     )
