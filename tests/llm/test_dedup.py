@@ -270,6 +270,27 @@ def test_passages_of_a_repeated_row(spark, monkeypatch):
         assert sorted(got) == sorted((i, want[i]) for i, _ in rows)
 
 
+def test_copies_of_a_context_are_not_compared_again(spark, monkeypatch):
+    random.seed(11)
+    shared = "".join(random.choice("abcdefgh ") for _ in range(600))
+    # Thirty copies, two of them inside one document, one cut short and one with another end.
+    rows = [(i, shared) for i in range(28)] + [(40, shared + "-" + shared), (41, shared[:350]), (42, shared[100:] + "other end")]
+    rows.append((-1, shared[250:] + "!"))
+    kept, orig = {}, suffix_dedup.staged
+
+    def counted(df, label):
+        out = orig(df, label)
+        kept[label] = out.count()
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "staged", counted)
+    want = brute_passages(sorted((i, t.encode()) for i, t in rows))
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)
+           for r in suffix_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+    assert kept["suffix-contexts"] < kept["suffix-places"] * 3
+
+
 def test_vectors_against_all_pairs(spark):
     rng = np.random.default_rng(4)
     x = rng.standard_normal((700, 24))

@@ -9,7 +9,9 @@ construction runs on short texts of equal width instead, in two steps:
    the same place, and neighbouring strings mostly share one. Only an anchor
    that occurs more than once can lie in a repeated string; the bytes around it
    that hold all strings it anchors are its context. The strings of an anchor
-   that very many texts share get wider anchors, which are rarer.
+   that very many texts share get wider anchors, which are rarer. A context
+   that equals one of an earlier document is repeated as a whole; only the
+   others, those of its first document among them, go on.
 2. Columns. The contexts of a bucket of anchors are lined up at their anchors.
    Round by round, from the last column to the first, one symbol of each is put
    before its suffix: the order of the suffixes and the common prefixes of
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import release, staged
-from tidemark.llm.words import VALUES, mix, powers, slices
+from tidemark.llm.words import GOLDEN, VALUES, mix, powers, slices
 
 K = 32  # bytes of an anchor
 BUCKET = 2_000  # contexts that are sorted together, on average
@@ -86,11 +88,14 @@ def _anchor_rows(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.
                                   names=["hash", "id", "place"])
 
 
-CONTEXTS = "hash long, id long, place long, first long, last long, context binary"
+MARKS = "hash long, key long, id long, place long, first long, last long"
 
 
-def _context_rows(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """The context of each repeated anchor. The strings of a hot one get wider anchors, which fewer texts share."""
+def _mark_rows(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Each repeated anchor; equal contexts with the anchor at the same place have equal keys.
+
+    The strings of a hot anchor get wider anchors, which fewer texts share.
+    """
     for batch in batches:
         ids = batch.column("id").to_numpy(zero_copy_only=False)
         for lo, hi, data, bounds in slices(batch.column("text")):
@@ -112,12 +117,33 @@ def _context_rows(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa
                 np.add.at(edge, found[2][hot], 1)
                 np.add.at(edge, found[3][hot] + 1, -1)
                 sets.append(anchors(data, bounds, length, WIDE, np.cumsum(edge) > 0))
+            base, inverse = powers(len(data) + 1)
+            total = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum(VALUES[data] * base[:len(data)], out=total[1:])
             for hashes, place, first, last, text in sets:
+                shape = ((place - first) << 16 | (last - first)).astype(np.uint64)
+                key = mix(mix((total[last + length] - total[first]) * inverse[first]) + shape * GOLDEN)
                 base = bounds[text]
-                yield pa.record_batch([
-                    pa.array(hashes.view(np.int64)), pa.array(ids[lo + text]), pa.array(place - base), pa.array(first - base),
-                    pa.array(last - base), pa.array([data[f:e + length].tobytes() for f, e in zip(first, last)], pa.binary())],
-                    names=CONTEXT_NAMES)
+                yield pa.record_batch([pa.array(x) for x in (hashes.view(np.int64), key.view(np.int64), ids[lo + text],
+                                                             place - base, first - base, last - base)], names=MARK_NAMES)
+
+
+MARK_NAMES = [c.split()[0] for c in MARKS.split(", ")]
+CONTEXTS = "hash long, id long, place long, first long, last long, context binary"
+
+
+def _context_rows(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """The listed contexts with their bytes."""
+    for batch in batches:
+        ids = batch.column("id").to_numpy(zero_copy_only=False)
+        for lo, hi, data, bounds in slices(batch.column("text")):
+            listed = batch.column("places").slice(lo, hi - lo)
+            text = np.repeat(np.arange(hi - lo), np.diff(listed.offsets.to_numpy()))
+            hashes, place, first, last = (listed.flatten().field(c).to_numpy() for c in ("hash", "place", "first", "last"))
+            base = bounds[text]
+            yield pa.record_batch([pa.array(x) for x in (hashes, ids[lo + text], place, first, last)] + [
+                pa.array([data[f:e + length].tobytes() for f, e in zip(first + base, last + base)], pa.binary())],
+                names=CONTEXT_NAMES)
 
 
 CONTEXT_NAMES = [c.split()[0] for c in CONTEXTS.split(", ")]
@@ -137,12 +163,16 @@ def _strings(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.Reco
                                    batch.column("id").take(take), pa.array(first)], names=["hash", "key", "id", "first"])
 
 
-def _range_minimum(values: np.ndarray) -> list[np.ndarray]:
-    table, step = [values], 1
+def _range_minimum(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """The least value from each ``lo`` to its ``hi``; ``logs`` has the binary logarithm of every length."""
+    table, starts, step = [values], [0], 1
     while 2 * step <= len(values):
+        starts.append(starts[-1] + len(table[-1]))
         table.append(np.minimum(table[-1][:-step], table[-1][step:]))
         step *= 2
-    return table
+    level = logs[hi - lo + 1]
+    flat, at = np.concatenate(table), np.array(starts)[level]
+    return np.minimum(flat[at + lo], flat[at + hi + 1 - (1 << level)])
 
 
 def insert_columns(symbols: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -153,22 +183,19 @@ def insert_columns(symbols: np.ndarray, length: int) -> Iterator[tuple[int, np.n
     """
     n = len(symbols)
     order, common = np.arange(n), np.full(n, 0, np.uint8)
-    for column in range(symbols.shape[1] - 1, -1, -1):
-        symbol = symbols[order, column]
+    logs = np.frexp(np.arange(n + 1).astype(float))[1] - 1
+    symbols = np.ascontiguousarray(symbols.T)
+    for column in range(len(symbols) - 1, -1, -1):
+        symbol = symbols[column][order]
         moved = np.argsort(symbol, kind="stable")
         a, b = moved[:-1], moved[1:]
         same = symbol[a] == symbol[b]
         fresh = np.zeros(n, np.uint8)
         lo, hi = a[same] + 1, b[same]
-        if column == symbols.shape[1] - 1:
+        if column == len(symbols) - 1:
             shared = np.zeros(len(lo), np.uint8)
         else:
-            table = _range_minimum(common)
-            level = np.frexp((hi - lo + 1).astype(float))[1] - 1
-            shared = np.empty(len(lo), np.uint8)
-            for k in np.unique(level):
-                some = level == k
-                shared[some] = np.minimum(table[k][lo[some]], table[k][hi[some] - (1 << int(k)) + 1])
+            shared = _range_minimum(common, lo, hi, logs)
         fresh[1:][same] = np.minimum(shared.astype(np.int64) + 1, length)
         order, common = order[moved], fresh
         yield column, order, common
@@ -211,22 +238,21 @@ def _cut(batches: Iterable[pa.RecordBatch], length: int, with_text: bool) -> Ite
     for batch in batches:
         out = {"doc_id": batch.column("id"), "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []}
         texts = []
-        for text, runs in zip(batch.column("text"), batch.column("runs")):
+        runs = batch.column("runs").fill_null([])
+        bounds, values = runs.offsets.to_numpy() - runs.offsets[0].as_py(), runs.flatten()
+        firsts, lasts = (values.field(c).to_numpy() for c in ("first", "last"))
+        for i, text in enumerate(batch.column("text")):
             data = (text.as_buffer().to_pybytes() if text.is_valid else b"")
-            kept, spans, removed, at = [], 0, 0, 0
-            for first, last in sorted((r["first"], r["last"]) for r in (runs.as_py() or ())):
-                end = min(last + length, len(data))
-                if first > at or not spans:
-                    kept.append(data[at:first])
-                    spans, removed = spans + 1, removed + end - first
-                else:
-                    removed += max(0, end - at)
-                at = max(at, end)
-            kept.append(data[at:])
-            kept = b"".join(kept)
+            first, end = firsts[bounds[i]:bounds[i + 1]], np.minimum(lasts[bounds[i]:bounds[i + 1]] + length, len(data))
+            order = np.argsort(first)
+            first, end = first[order], np.maximum.accumulate(end[order])
+            # A span begins where all runs before have ended.
+            new = np.flatnonzero(np.append(True, first[1:] > end[:-1])) if len(first) else np.zeros(0, int)
+            first, end = first[new], end[np.append(new[1:], len(end)) - 1] if len(new) else end
+            kept = b"".join(data[a:b] for a, b in zip([0, *end.tolist()], [*first.tolist(), len(data)]))
             out["n_bytes"].append(len(data))
-            out["n_removed"].append(removed)
-            out["n_spans"].append(spans)
+            out["n_removed"].append(len(data) - len(kept))
+            out["n_spans"].append(len(new))
             out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
             texts.append(kept)
         columns = [out["doc_id"]] + [pa.array(out[c], pa.int64()) for c in ("n_bytes", "n_removed", "n_spans")] + [
@@ -268,7 +294,19 @@ def repeated_passages(docs: DataFrame, length: int = 100, doc_id: str = "doc_id"
     places = staged(found.join(repeated, "hash").groupBy("id").agg(
         F.collect_list(F.struct("place", (F.col("n") > HOT).alias("hot"))).alias("places")), "suffix-places")
     release(found)
-    contexts = staged(texts.join(places, "id").mapInArrow(lambda b: _context_rows(b, length), CONTEXTS), "suffix-contexts")
+    marks = staged(texts.join(places, "id").mapInArrow(lambda b: _mark_rows(b, length), MARKS), "suffix-marks")
+    release(places)
+    release(repeated)
+    # Written, so that the partitions of the join below can be split where a context has very many copies.
+    earlier = staged(marks.groupBy("hash", "key").agg(F.min("id").alias("earliest"), F.count("*").alias("n"))
+                     .filter("n > 1").drop("n"), "suffix-earlier")
+    judged = staged(marks.join(earlier, ["hash", "key"], "left").select(
+        "hash", "id", "place", "first", "last", F.coalesce(F.col("id") > F.col("earliest"), F.lit(False)).alias("copy")), "suffix-judged")
+    release(marks)
+    release(earlier)
+    copies = judged.filter("copy").select("id", "first", "last")
+    listed = judged.filter("NOT copy").groupBy("id").agg(F.collect_list(F.struct("hash", "place", "first", "last")).alias("places"))
+    contexts = staged(texts.join(listed, "id").mapInArrow(lambda b: _context_rows(b, length), CONTEXTS), "suffix-contexts")
 
     # Anchors that are hot even so stand in long passages that very many documents share.
     many = staged(contexts.groupBy("hash").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("hash"), "suffix-hot")
@@ -282,7 +320,7 @@ def repeated_passages(docs: DataFrame, length: int = 100, doc_id: str = "doc_id"
                 .filter("n > 1").select("hash", "key", "at"))
     later = strings.join(earliest, ["hash", "key"]).filter(F.struct("id", "first") != F.col("at")).select(
         "id", "first", F.col("first").alias("last"))
-    spans = staged(runs.unionAll(later).groupBy("id").agg(F.collect_list(F.struct("first", "last")).alias("runs")), "suffix-spans")
+    spans = staged(copies.unionAll(runs).unionAll(later).groupBy("id").agg(F.collect_list(F.struct("first", "last")).alias("runs")), "suffix-spans")
     cut = rows.join(spans, "id", "left").mapInArrow(
         lambda b: _cut(b, length, with_text), RESULT + (", kept binary" if with_text else ""))
     return cut.withColumn("doc_id", F.when(F.col("doc_id") != null_id, F.col("doc_id")))
