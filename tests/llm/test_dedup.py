@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tidemark.llm import embed_dedup, line_dedup, minhash, queries, suffix_dedup
 from tidemark.llm.common import components, table
@@ -195,6 +196,35 @@ def test_lines_of_any_length_are_linked_where_asked(spark):
     assert {r.doc_id: r.n_links for r in got} == {i: degree[s] for i, s in rows}
 
 
+def test_letter_counts_part_lines_that_are_far_apart_only(spark):
+    rng = random.Random(12)
+    pairs = []
+    for _ in range(400):
+        a = "".join(rng.choice("etaonrih sz09é\U0001f600.") for _ in range(rng.randrange(40)))
+        b = a
+        for _ in range(rng.randrange(4)):
+            p, o = rng.randrange(len(b) + 1), rng.random()
+            b = b[:p] + (rng.choice("ts7é ") + b[p:] if o < 0.33 else b[p + 1:] if o < 0.66 else "漢" + b[p + 1:])
+        pairs.append((a, b))
+    rows = spark.createDataFrame(pairs, "a string, b string").select(
+        "a", "b", line_dedup.letters_apart(*[line_dedup.letter_counts(F.col(c)) for c in "ab"]).alias("apart")).collect()
+    assert all(r.apart <= 2 * edits(r.a, r.b) for r in rows) and any(r.apart > 4 for r in rows)
+
+
+def test_near_copies_beyond_the_edits_are_not_verified(spark, monkeypatch):
+    """Copies of one long line with four characters put in somewhere: nearly all pairs are eight edits apart."""
+    rng, met = random.Random(13), []
+    base = " ".join("".join(rng.choice("etaonrihsd") for _ in range(rng.randrange(2, 9))) for _ in range(90))
+    places = [rng.randrange(len(base)) for _ in range(150)]
+    lines = [base[:p] + "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(4)) + base[p:] for p in places]
+    write = line_dedup.staged
+    monkeypatch.setattr(line_dedup, "staged", lambda df, label: (out := write(df, label), met.append((label, out)))[0])
+    got = line_dedup.line_classes(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()
+    assert len(got) == len(lines)
+    # 11 175 pairs, of which the counts of eight letters left more than half.
+    assert dict(met)["lines-pairs"].count() < 11175 // 3
+
+
 def test_registered_line_query_links_short_lines(spark, tmp_path):
     spark.createDataFrame([(1, "abcde"), (2, "abcdz"), (3, "vwxyz")], "doc_id long, text string").write.parquet(
         str(tmp_path / "documents.parquet"))
