@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import WORD, components, staged
 
 # Characters whose counts are compared before a pair leaves the join; all others count together (fixed value).
-LETTERS = "etaoinshrdlucmfwypvbg0123456789"
+LETTERS = "etaoinshrdlucmfw01234567"
 
 
 def look_ups(max_edits: int) -> list[tuple[int, int, int]]:
@@ -65,7 +65,7 @@ def deletion_keys(lines: DataFrame, max_edits: int) -> DataFrame:
 
 
 def letter_counts(line: Column) -> Column:
-    """Counts of 31 characters and of all the others modulo 4, two bits each, as 0, 1, 3, 2: neighbours differ in one bit."""
+    """Counts of 24 characters and of all the others modulo 4, two bits each, as 0, 1, 3, 2: neighbours differ in one bit."""
     size = F.octet_length(line)
     counts = [size - F.octet_length(F.replace(line, F.lit(letter))) for letter in LETTERS]
     counts.append(F.char_length(line) - reduce(lambda x, y: x + y, counts))
@@ -214,7 +214,8 @@ def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     """
     gone = (line_classes(docs, doc_id=doc_id, text=text, **options).filter("NOT kept").distinct()
             .groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_list("line_no").alias("__gone")))
-    gone = staged(gone, "lines-gone")
+    # Merged at every size: where few rows go, their list would be broadcast, and disk would leap once it is long.
+    gone = staged(gone, "lines-gone").hint("merge")
     rows = docs.join(gone, docs[f"`{doc_id}`"] == gone["__doc"], "left")
     left = F.array_join(F.filter(F.split(F.col(f"`{text}`"), "\n"), lambda l, i: ~F.array_contains("__gone", i)), "\n")
     rows = rows.withColumn("__left", F.when(F.col("__gone").isNull(), F.col(f"`{text}`")).otherwise(left))
