@@ -234,6 +234,38 @@ def test_near_copies_beyond_the_edits_are_not_verified(spark, monkeypatch):
     assert dict(met)["lines-pairs"].count() < 11175 // 2
 
 
+def test_letters_are_counted_for_lines_that_meet_another_only(spark, monkeypatch):
+    """200 lines alone, and 40 that share all but their last four characters: rows before the pairs stay in proportion to lines."""
+    rng, written = random.Random(14), {}
+    alone = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(60)) for _ in range(200)]
+    base = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(60))
+    group = [base + "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(4)) for _ in range(40)]
+    near = [group[0][:-1] + "#", alone[0][:30] + "##" + alone[0][30:]]
+    lines = alone + group + near
+    write = line_dedup.staged
+    monkeypatch.setattr(line_dedup, "staged", lambda df, label: (out := write(df, label), written.setdefault(label, []).append(out))[0])
+    got = line_dedup.line_classes(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_links for r in got} == {
+        i: sum(1 for b in lines if a != b and abs(len(a) - len(b)) <= 2 and edits(a, b) <= 2) for i, a in enumerate(lines)}
+    assert "letters" not in written["lines-distinct"][0].columns
+    counts = {label: sum(df.count() for df in tables) for label, tables in written.items()}
+    assert counts["lines-letters"] == len(group) + len(near) + 1
+    assert counts["lines-found"] <= 12 * 43 and counts["lines-held"] <= 3 * 43
+
+
+def test_lines_are_looked_up_in_pieces(spark, monkeypatch):
+    """Ids of four tasks and no more than ten at a time: lines do not travel, none is lost or twice."""
+    pieces, write = [], line_dedup.staged
+    lines = write(spark.range(100).repartition(4).select(F.monotonically_increasing_id().alias("id"), F.col("id").alias("line")), "lines")
+    ids = lines.filter("line % 3 = 0").select("id")
+    monkeypatch.setattr(line_dedup, "PIECE", 10)
+    monkeypatch.setattr(line_dedup, "staged", lambda df, label: (out := write(df, label), pieces.append((df, out)))[0])
+    got = line_dedup.lines_of(lines, ids, "some", F.col("line")).collect()
+    assert sorted(r.line for r in got) == list(range(0, 100, 3)) and len(pieces) > 1
+    assert "Exchange hashpartitioning" not in "".join(df._jdf.queryExecution().executedPlan().toString() for df, _ in pieces)
+    assert line_dedup.lines_of(lines, ids.filter("false"), "none", F.col("line")).collect() == []
+
+
 def test_registered_line_query_links_short_lines(spark, tmp_path):
     spark.createDataFrame([(1, "abcde"), (2, "abcdz"), (3, "vwxyz")], "doc_id long, text string").write.parquet(
         str(tmp_path / "documents.parquet"))

@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import WORD, components, staged
 
 # Characters whose counts are compared before a pair leaves the join; all others count together (fixed value).
-LETTERS = "etaoinshrdlucmfw01234567"
+LETTERS = "etaoinshrdlucmfwypvbg0123456789"
+# Ids that are broadcast at once to the lines they name (fixed value).
+PIECE = 1 << 18
 
 
 def look_ups(max_edits: int) -> list[tuple[int, int, int]]:
@@ -33,11 +35,11 @@ def look_ups(max_edits: int) -> list[tuple[int, int, int]]:
             for shift in range(max(-i, shorter - (max_edits - i)), min(i, shorter + max_edits - i) + 1)]
 
 
-def segment_keys(lines: DataFrame, max_edits: int) -> DataFrame:
-    """Rows (id, letters, key, indexed) of ``lines`` (id, line, n, letters): its own segments and the others to look up."""
+def segment_keys(lines: DataFrame, max_edits: int, own: bool = False) -> DataFrame:
+    """Rows (id, key, indexed) of ``lines`` (id, line, n): its own segments and, unless ``own``, the others to look up."""
     places = F.array(*[F.struct(F.lit(s).alias("shorter"), F.lit(i).alias("i"), F.lit(d).alias("shift"))
-                       for s, i, d in look_ups(max_edits)])
-    rows = lines.select("id", "letters", "line", "n", F.inline(places))
+                       for s, i, d in look_ups(max_edits) if not own or s == d == 0])
+    rows = lines.select("id", "line", "n", F.inline(places))
     k = max_edits + 1
     cut = {"m": F.col("n") - F.col("shorter"),
            "base": F.expr(f"cast((n - shorter) div {k} as int)"),
@@ -46,7 +48,7 @@ def segment_keys(lines: DataFrame, max_edits: int) -> DataFrame:
     start = F.col("i") * F.col("base") + F.greatest(F.lit(0), F.col("longer"))
     length = F.col("base") + (F.col("longer") >= 0).cast("int")
     key = F.xxhash64("m", "i", F.substring(F.col("line"), start + F.col("shift") + 1, length))
-    return rows.select("id", "letters", key.alias("key"), ((F.col("shorter") == 0) & (F.col("shift") == 0)).alias("indexed"))
+    return rows.select("id", key.alias("key"), ((F.col("shorter") == 0) & (F.col("shift") == 0)).alias("indexed"))
 
 
 def deletion_keys(lines: DataFrame, max_edits: int) -> DataFrame:
@@ -65,7 +67,7 @@ def deletion_keys(lines: DataFrame, max_edits: int) -> DataFrame:
 
 
 def letter_counts(line: Column) -> Column:
-    """Counts of 24 characters and of all the others modulo 4, two bits each, as 0, 1, 3, 2: neighbours differ in one bit."""
+    """Counts of 31 characters and of all the others modulo 4, two bits each, as 0, 1, 3, 2: neighbours differ in one bit."""
     size = F.octet_length(line)
     counts = [size - F.octet_length(F.replace(line, F.lit(letter))) for letter in LETTERS]
     counts.append(F.char_length(line) - reduce(lambda x, y: x + y, counts))
@@ -81,6 +83,54 @@ def letters_apart(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
+def lines_of(lines: DataFrame, ids: DataFrame, label: str, *columns: Column) -> DataFrame:
+    """``columns`` of the ``lines`` (id, line) that the different ``ids`` (id) name, written.
+
+    A line is many times as long as its id, so the lines stay where they are:
+    ids are broadcast, about ``PIECE`` at a time. An id has the number of the
+    task that wrote it above its 33 lowest bits, so a piece is a range of files,
+    and the others are left out by their least and largest id.
+    """
+    counts = ids.groupBy(F.shiftright("id", 33).alias("task")).agg(F.count("*").alias("ids")).orderBy("task").collect()
+    starts, size = [0], 0
+    for task, n in counts:
+        if size and size + n > PIECE:
+            starts.append(task << 33)
+            size = 0
+        size += n
+    pieces = []
+    for start, end in zip(starts, [*starts[1:], 1 << 63]):
+        inside = F.col("id").between(start, end - 1)
+        piece = lines.filter(inside).join(F.broadcast(ids.filter(inside)), "id", "left_semi").select(*columns)
+        pieces.append(staged(piece, label))
+    return ids.sparkSession.read.schema(pieces[0].schema).parquet(*[piece._staged_at for piece in pieces])
+
+
+def segment_pairs(lines: DataFrame, max_edits: int) -> DataFrame:
+    """Rows (a, b), not yet verified: different ``lines`` (id, line, n) that share a segment and nearly all letters.
+
+    Letters cost more to count than all keys of a line, so this is done for lines
+    that meet another only. The look-ups that find a segment of another line are
+    kept, then the segments that they found, each once however many lines share
+    it; only these rows meet in pairs, if the letters allow.
+    """
+    look_up = segment_keys(lines, max_edits)
+    index = segment_keys(lines, max_edits, own=True).select("key", F.col("id").alias("b"))
+    found = staged(look_up.join(index, (look_up["key"] == index["key"]) & (F.col("id") != F.col("b")), "left_semi")
+                   .select("key", F.col("id").alias("a"), "indexed"), "lines-found")
+    # Merged at every size: where few look-ups find a segment, they would be broadcast, and disk would leap once they are many.
+    held = staged(index.join(found.select("key").hint("merge"), "key", "left_semi"), "lines-held")
+    met = staged(found.select(F.col("a").alias("id")).unionAll(held.select("b")).distinct(), "lines-meeting")
+    letters = lines_of(lines, met, "lines-letters", F.col("id"), letter_counts(F.col("line")).alias("letters"))
+    probes = found.join(letters.select(F.col("id").alias("a"), F.col("letters").alias("letters_a")), "a")
+    held = held.join(letters.select(F.col("id").alias("b"), F.col("letters").alias("letters_b")), "b")
+    # A line looks up its own segments too: of two lines of one length that meet there, the pair is taken once.
+    pairs = probes.join(held, (probes["key"] == held["key"]) & (F.col("a") != F.col("b"))
+                        & (~F.col("indexed") | (F.col("a") < F.col("b")))
+                        & (letters_apart(F.col("letters_a"), F.col("letters_b")) <= 2 * max_edits))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def _common_prefix(a: Column, b: Column) -> Column:
     """Length of a common prefix: all of it up to two million characters."""
     most = F.least(F.char_length(a), F.char_length(b))
@@ -162,19 +212,11 @@ def line_classes(docs: DataFrame, max_edits: int = 2, min_chars: int = 30, doc_i
     lines = _lines(docs, doc_id, text, min_chars)
     distinct = staged(
         lines.groupBy("h1", "h2").agg(F.first("line").alias("line"), F.min(F.struct("doc_id", "line_no")).alias("first_at"))
-        .withColumns({"id": F.monotonically_increasing_id(), "n": F.char_length("line"),
-                      "letters": letter_counts(F.col("line"))}), "lines-distinct")
+        .withColumns({"id": F.monotonically_increasing_id(), "n": F.char_length("line")}), "lines-distinct")
 
     # From this length on, each of the max_edits + 1 segments has more than max_edits characters.
     long = (max_edits + 1) ** 2 + max_edits
-    keys = segment_keys(distinct.filter(F.col("n") >= long), max_edits)
-    index = keys.filter("indexed").select("key", F.col("id").alias("b"), F.col("letters").alias("letters_b"))
-    probes = keys.select("key", "indexed", F.col("id").alias("a"), F.col("letters").alias("letters_a"))
-    # A line looks up its own segments too: of two lines of one length that meet there, the pair is taken once.
-    met = probes.join(index, (probes["key"] == index["key"]) & (F.col("a") != F.col("b"))
-                      & (~F.col("indexed") | (F.col("a") < F.col("b")))
-                      & (letters_apart(F.col("letters_a"), F.col("letters_b")) <= 2 * max_edits))
-    met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    met = segment_pairs(distinct.filter(F.col("n") >= long).select("id", "line", "n"), max_edits)
     least = long if linked_from is None else max(linked_from, min_chars)
     if least < long:
         left = deletion_keys(distinct.filter(F.col("n").between(least, long + max_edits - 1)), max_edits)
@@ -185,9 +227,8 @@ def line_classes(docs: DataFrame, max_edits: int = 2, min_chars: int = 30, doc_i
             (F.col("a") < F.col("b")) & (F.least("n_a", "n_b") < long) & (F.abs(F.col("n_a") - F.col("n_b")) <= max_edits))
         met = met.unionAll(near.select("a", "b"))
     pairs = staged(met.distinct(), "lines-pairs")
-    # Written, so that its size is known: a short list of ids is broadcast, and only a long one makes the lines travel.
     wanted = staged(pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")).distinct(), "lines-wanted")
-    texts = staged(distinct.select("id", "line").join(wanted, "id", "left_semi"), "lines-met")
+    texts = lines_of(distinct, wanted, "lines-met", F.col("id"), F.col("line"))
     both = (pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a")
             .join(texts.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b"))
     links = staged(within_edits(both, "line_a", "line_b", max_edits).select("a", "b"), "lines-links")
